@@ -1,0 +1,47 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+_SALT = "_salt"
+
+
+def all_set(cols: Sequence[str]) -> Column:
+    """True where no listed column is NULL."""
+    test = F.lit(True)
+    for c in cols:
+        test = test & F.col(c).isNotNull()
+    return test
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct complete keys; copies are folded before the shuffle."""
+    return df.where(all_set(keys)).select(*keys).distinct()
+
+
+def salted_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "inner",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join ``rows`` (any key may be hot) with ``lookup`` (unique on ``on``).
+
+    Each lookup row is repeated once per salt and every row picks its salt from
+    a hash of ``spread_by``, so a hot key is served by ``salts`` tasks.  The
+    salt depends on the data alone: a task that is run again sends its rows to
+    the same place.  ``how`` is one of inner, left, left_semi, left_anti.
+    When the lookup is small enough Spark broadcasts it and nothing moves.
+    """
+    on = list(on)
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    left = rows.withColumn(_SALT, spread)
+    right = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*on, _SALT], how).drop(_SALT)

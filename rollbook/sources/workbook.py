@@ -1,0 +1,101 @@
+"""Catalog workbooks (.xlsx): one file per task, rows by header name.
+
+Spark lists, ships and balances the files; the worker code only unpacks one
+workbook, whose size the format limits (about a million rows).
+"""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+# Header texts of the catalog and their table columns.
+HEADERS = {"Course Name": "course_name", "Code": "course_code", "Credits": "credits"}
+
+_ROW_SCHEMA = "file string, place long, course_name string, course_code string, credits string"
+
+
+def _local(tag: str) -> str:
+    return tag.rsplit("}", 1)[-1]
+
+
+def _texts(node: ElementTree.Element) -> str:
+    return "".join(t.text or "" for t in node.iter() if _local(t.tag) == "t")
+
+
+def _column(ref: str) -> int:
+    n = 0
+    for ch in ref:
+        if not ch.isalpha():
+            break
+        n = n * 26 + ord(ch.upper()) - 64
+    return n - 1
+
+
+def _first_sheet(book: zipfile.ZipFile) -> str:
+    sheets = [n for n in book.namelist() if n.startswith("xl/worksheets/") and n.endswith(".xml")]
+    return min(sheets, key=lambda n: (len(n), n))
+
+
+def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+    """Cell texts of the first sheet, row by row."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        shared: list[str] = []
+        if "xl/sharedStrings.xml" in book.namelist():
+            root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
+            shared = [_texts(si) for si in root if _local(si.tag) == "si"]
+        sheet = ElementTree.fromstring(book.read(_first_sheet(book)))
+    for row in (e for e in sheet.iter() if _local(e.tag) == "row"):
+        cells: list[str | None] = []
+        for place, cell in enumerate(c for c in row if _local(c.tag) == "c"):
+            at = _column(cell.get("r", "")) if cell.get("r") else place
+            cells += [None] * (at + 1 - len(cells))
+            value = next((v.text for v in cell if _local(v.tag) == "v"), None)
+            if cell.get("t") == "s" and value is not None:
+                value = shared[int(value)]
+            elif cell.get("t") == "inlineStr":
+                value = _texts(cell)
+            cells[at] = value
+        yield cells
+
+
+def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            rows = sheet_rows(content)
+            head = next(rows, [])
+            at = {HEADERS[h]: i for i, h in enumerate(head) if h in HEADERS}
+            absent = [h for h, c in HEADERS.items() if c not in at]
+            if absent:
+                raise ValueError(f"{path}: no column {', '.join(absent)}")
+            body = [
+                [path, n, *[r[at[c]] if at[c] < len(r) else None for c in HEADERS.values()]]
+                for n, r in enumerate(rows)
+                if any(v is not None for v in r)
+            ]
+            yield pd.DataFrame(body, columns=["file", "place", *HEADERS.values()])
+
+
+def read_catalog(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Catalog rows of all workbooks.  A missing file is an error.
+
+    ``credits`` is given as whole number; text that is none becomes NULL.
+    """
+    paths = [path] if isinstance(path, str) else path
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    rows = files.mapInPandas(_unpack, _ROW_SCHEMA)
+    return rows.select(
+        "course_name",
+        "course_code",
+        F.col("credits").try_cast("double").cast("int").alias("credits"),
+        F.struct("file", "place").alias("feed_order"),
+    )
+
+
