@@ -90,19 +90,15 @@ VIEWS: dict[str, tuple[str, dict[str, str], str | None]] = {
         "lineitem",
         {
             "enrollment_id": "l_orderkey",
-            "assessment": "case when l_partkey % 61 = 0 then null "
-            "when l_partkey % 67 = 0 then concat(l_returnflag, repeat('x', 60)) "
-            "when l_partkey % 71 = 0 then concat(l_returnflag, repeat(' ', 60)) else l_returnflag end",
-            "score": "case when l_partkey % 97 = 0 then '150' when l_partkey % 101 = 0 then 'n/a' "
-            "when l_partkey % 103 = 0 then '100.004' when l_partkey % 107 = 0 then '100.005' "
-            "when l_partkey % 109 = 0 then '-0.01' when l_partkey % 113 = 0 then '1000' "
-            f"else cast(cast({_SCORE} as decimal(5,2)) as string) end",
-            "weight": "case when l_partkey % 83 = 0 then '12.5' "
-            "else cast(cast(l_discount as decimal(3,2)) as string) end",
-            "entry_date": "case when l_suppkey % 31 = 0 then '9999-99-99' when l_suppkey % 37 = 0 then '24-1-1' "
-            "when l_suppkey % 29 = 0 then '2024-01-01x' else cast(cast(l_shipdate as date) as string) end",
-            "status": "case when l_linenumber = 7 then 'Here' when l_linestatus = 'F' then 'Late' "
-            "else 'Present' end",
+            # 8 to 56 letters, blanks behind; one length of one letter is missing
+            "assessment": "nullif(concat(repeat(l_returnflag, l_linenumber * 8), repeat(' ', l_linenumber * 8)), "
+            "concat(repeat('A', 8), repeat(' ', 8)))",
+            # three digits behind the point, up to 101; 77 is no number
+            "score": "replace(concat(cast(l_partkey % 102 as string), '.00', cast(l_linenumber as string)), '77.', 'x')",
+            "weight": "concat(cast(l_suppkey % 11 as string), '.5')",
+            # February has days in the forties, some of March a short month
+            "entry_date": "replace(replace(cast(cast(l_shipdate as date) as string), '-02-1', '-02-4'), '-03-2', '-3-2')",
+            "status": "case when l_linenumber = 7 then 'Here' else 'Late' end",
             "credits": "cast(l_quantity as int) - 2",
         },
         None,

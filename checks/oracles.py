@@ -74,8 +74,7 @@ _REASONS = """concat_ws(',',
     case when not (try_cast(score as decimal(5,2)) between 0 and 100) then 'score_out_of_range' end,
     case when try_cast(weight as decimal(3,2)) is null then 'weight_bad_number' end,
     case when not regexp_matches(entry_date, '^\\d{4}-\\d{2}-\\d{2}') then 'entry_date_bad_shape' end,
-    case when not regexp_matches(entry_date, '^\\d{4}-\\d{2}-\\d{2}$') or try_cast(entry_date as date) is null
-         then 'entry_date_not_a_date' end,
+    case when try_cast(entry_date as date) is null then 'entry_date_not_a_date' end,
     case when status not in ('Present', 'Absent', 'Late', 'Excused') then 'status_not_allowed' end,
     case when credits <= 0 then 'credits_not_positive' end)"""
 
@@ -612,10 +611,7 @@ def _dq() -> str:
         ("score_out_of_range", "not (try_cast(score as decimal(5,2)) between 0 and 100)"),
         ("weight_bad_number", "try_cast(weight as decimal(3,2)) is null"),
         ("entry_date_bad_shape", "not regexp_matches(entry_date, '^\\d{4}-\\d{2}-\\d{2}')"),
-        (
-            "entry_date_not_a_date",
-            "not regexp_matches(entry_date, '^\\d{4}-\\d{2}-\\d{2}$') or try_cast(entry_date as date) is null",
-        ),
+        ("entry_date_not_a_date", "try_cast(entry_date as date) is null"),
         ("status_not_allowed", "status not in ('Present', 'Absent', 'Late', 'Excused')"),
         ("credits_not_positive", "credits <= 0"),
     ]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook import schemas
-from rollbook.functions.skew import all_set
+from rollbook.functions.joins import all_set
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:

@@ -4,33 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.functions.skew import all_set, distinct_keys
+from rollbook.functions.joins import all_set, distinct_keys
 from rollbook.functions.staging import stage
 
 _LOW_BITS = (1 << 33) - 1
 
 
-def _reduce(rows: DataFrame, keys: Sequence[str], pick: Column) -> DataFrame:
-    return rows.groupBy(*keys).agg(pick.alias("_row")).select("_row.*")
-
-
 def first_wins(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row of each key by ``order``; rows with a NULL key all stay.
 
     The pick is an aggregate, so copies of a hot key are folded in the tasks
     that read them and only one row per task and key is shuffled.
     """
-    pick = F.min_by(F.struct(*batch.columns), F.struct(*order))
-    complete = _reduce(batch.where(all_set(keys)), keys, pick)
+    pick = F.min_by(F.struct(*batch.columns), F.struct(*order)).alias("_row")
+    complete = batch.where(all_set(keys)).groupBy(*keys).agg(pick).select("_row.*")
     return complete.unionByName(batch.where(~all_set(keys)))
 
 
 def last_wins(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row of each key by ``order``; keys must be complete."""
-    return _reduce(batch, keys, F.max_by(F.struct(*batch.columns), F.struct(*order)))
+    pick = F.max_by(F.struct(*batch.columns), F.struct(*order)).alias("_row")
+    return batch.groupBy(*keys).agg(pick).select("_row.*")
 
 
 def present_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.skew import distinct_keys
+from rollbook.functions.joins import distinct_keys
 from rollbook.operators.keys import assign_ids
 
 

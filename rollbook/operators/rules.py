@@ -82,12 +82,20 @@ def table_rules(table: str, columns: Sequence[str]) -> list[Rule]:
     return rules
 
 
+def passes(rules: Sequence[Rule]) -> Column:
+    """True where no rule is broken."""
+    test = F.lit(True)
+    for r in rules:
+        test = test & F.coalesce(r.holds, F.lit(True))
+    return test
+
+
 def broken(rules: Sequence[Rule]) -> Column:
     """Array of the reason codes of all broken rules, in the order given."""
     if not rules:
         return F.array().cast("array<string>")
-    named = F.array(*[F.when(~r.holds, F.lit(r.reason)) for r in rules])
-    return F.filter(named, lambda reason: reason.isNotNull())
+    text = F.concat_ws(",", *[F.when(~r.holds, F.lit(r.reason)) for r in rules])
+    return F.when(text != "", F.split(text, ",")).otherwise(F.array().cast("array<string>"))
 
 
 def first_failing(*stages: Column) -> Column:
@@ -96,11 +104,11 @@ def first_failing(*stages: Column) -> Column:
     return F.coalesce(*[F.when(F.size(s) > 0, s) for s in stages], empty)
 
 
-def split_by_reasons(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good = df.where(F.size(REASONS) == 0).drop(REASONS)
-    return good, df.where(F.size(REASONS) > 0)
-
-
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with ``reasons``)."""
-    return split_by_reasons(df.withColumn(REASONS, broken(rules)))
+    """(valid rows, rejected rows with ``reasons``).
+
+    Sorting the rows out is one boolean condition; reasons are put together for
+    rejected rows only.
+    """
+    ok = passes(rules)
+    return df.where(ok), df.where(~ok).withColumn(REASONS, broken(rules))

@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook import schemas
-from rollbook.functions.skew import all_set, distinct_keys, salted_join
+from rollbook.functions.joins import all_set, fits_broadcast, null_safe_left
 from rollbook.functions.staging import stage
 from rollbook.operators import rules as R
-from rollbook.operators.clean import coerce, conform, fit_lengths
+from rollbook.operators.clean import coerce, conform, fit_lengths, with_defaults
 from rollbook.operators.integrity import cascade_delete
 from rollbook.operators.keys import assign_ids, insert_absent, last_wins, next_id
-from rollbook.operators.lookup import find, first_enrollments, resolve_pairs, without_match
+from rollbook.operators.lookup import find, held_keys, link_pairs, without_match
 
 Tables = Mapping[str, DataFrame]
 _PAIR = ["email", "course_code"]
@@ -64,6 +64,20 @@ def _append(tables: Tables, table: str, rows: DataFrame, order: Sequence[str] |
     return conform(tables[table], schemas.TABLES[table]).unionByName(new), new
 
 
+def _reason(test: Column, reason: str) -> R.Rule:
+    """A failed lookup as a rule: broken where ``test`` is true."""
+    return R.Rule(reason, ~test)
+
+
+def _judge(
+    rows: DataFrame, columns: Sequence[str], *stages: Sequence[R.Rule]
+) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) under stages of rules, the first broken stage giving the reasons."""
+    ok = R.passes([rule for rules in stages for rule in rules])
+    why = R.first_failing(*[R.broken(rules) for rules in stages])
+    return rows.where(ok), rows.where(~ok).select(*columns, why.alias(R.REASONS))
+
+
 # -- students ---------------------------------------------------------------
 
 
@@ -71,18 +85,15 @@ def add_students(tables: Tables, commands: DataFrame, order: Sequence[str] = ("s
     """Create students.  A taken email is an error, also inside the batch."""
     order = list(order)
     columns = ["first_name", "last_name", "email", "major"]
-    entry = R.broken([R.date_shape("dob")])
-    stored = R.broken([*R.table_rules("students", columns), R.real_date("dob")])
-    flagged = commands.withColumn(R.REASONS, R.first_failing(entry, stored))
-    valid, rejected = R.split_by_reasons(flagged)
+    entry = [R.date_shape("dob")]
+    stored = [*R.table_rules("students", columns), R.real_date("dob")]
+    valid, rejected = _judge(commands, commands.columns, entry, stored)
     valid = fit_lengths(valid, schemas.MAX_LENGTH["students"])
     inserted, taken = insert_absent(tables["students"], valid, ["email"], order)
     rows = inserted.withColumn("date_of_birth", F.col("dob").try_cast("date"))
     students, added = _append(tables, "students", rows, order)
     taken = taken.select(*commands.columns).withColumn(R.REASONS, F.array(F.lit("duplicate_email")))
-    return Outcome(
-        {**tables, "students": students}, {"students": added}, rejected.unionByName(taken)
-    )
+    return Outcome({**tables, "students": students}, {"students": added}, rejected.unionByName(taken))
 
 
 def delete_students(tables: Tables, requests: DataFrame) -> Outcome:
@@ -104,46 +115,31 @@ def register_students(
 ) -> Outcome:
     """Enroll by email and course code; an enrollment that exists is left alone."""
     order = list(order)
-    pairs = resolve_pairs(distinct_keys(commands, _PAIR), tables["students"], tables["courses"])
-    # A command with a NULL email or code has no pair of its own; its other
-    # half decides nothing but which of the two misses is reported.
-    students = find(tables["students"], "email", "student_id", commands).select("email", F.lit(True).alias("_known"))
-    linked = salted_join(commands, pairs, _PAIR, order, "left")
-    linked = salted_join(linked, students, ["email"], order, "left")
-    missing = F.when(F.col("_known").isNull(), F.array(F.lit("student_not_found"))).when(
-        F.col("course_id").isNull(), F.array(F.lit("course_not_found"))
+    links = link_pairs(commands, tables["students"], tables["courses"])
+    valid, rejected = _judge(
+        null_safe_left(commands, links, _PAIR),
+        commands.columns,
+        [_reason(F.col("student_id").isNull(), "student_not_found")],
+        [_reason(F.col("course_id").isNull(), "course_not_found")],
+        R.table_rules("enrollments", ["semester"]),
     )
-    empty = F.array().cast("array<string>")
-    stored = R.broken(R.table_rules("enrollments", ["semester"]))
-    flagged = linked.withColumn(R.REASONS, R.first_failing(F.coalesce(missing, empty), stored))
-    valid, rejected = R.split_by_reasons(flagged)
     valid = fit_lengths(valid, schemas.MAX_LENGTH["enrollments"])
-    batch = valid.withColumn("enrollment_date", _today(as_of)).select(
-        *dict.fromkeys(["student_id", "course_id", "semester", "enrollment_date", *order])
-    )
-    inserted, _ = insert_absent(tables["enrollments"], batch, schemas.UNIQUE_KEYS["enrollments"], order)
-    enrollments, added = _append(tables, "enrollments", inserted, order)
-    return Outcome(
-        {**tables, "enrollments": enrollments},
-        {"enrollments": added},
-        rejected.select(*commands.columns, R.REASONS),
-    )
-
+    key = schemas.UNIQUE_KEYS["enrollments"]
+    batch = stage(valid.select(*dict.fromkeys([*key, *order])))
+    inserted, _ = insert_absent(tables["enrollments"], batch, key, order)
+    rows = inserted.withColumn("enrollment_date", _today(as_of))
+    enrollments, added = _append(tables, "enrollments", rows, order)
+    return Outcome({**tables, "enrollments": enrollments}, {"enrollments": added}, rejected)
 
-def enrollment_of(tables: Tables, commands: DataFrame) -> DataFrame:
-    """(email, course_code, enrollment_id) of the commands' pairs that are enrolled.
 
-    Repeated enrollments of a pair resolve to the lowest id.
-    """
-    pairs = resolve_pairs(distinct_keys(commands, _PAIR), tables["students"], tables["courses"])
-    pairs = pairs.where(all_set(["student_id", "course_id"]))
-    ids = first_enrollments(tables["enrollments"], pairs)
-    return pairs.join(ids, ["student_id", "course_id"]).select(*_PAIR, "enrollment_id")
+def _linked(tables: Tables, commands: DataFrame) -> DataFrame:
+    """Commands with the enrollment they mean, the lowest id where there are several."""
+    links = link_pairs(commands, tables["students"], tables["courses"], tables["enrollments"])
+    return null_safe_left(commands, links.select(*_PAIR, "enrollment_id"), _PAIR)
 
 
-def _not_enrolled() -> Column:
-    empty = F.array().cast("array<string>")
-    return F.when(F.col("enrollment_id").isNull(), F.array(F.lit("enrollment_not_found"))).otherwise(empty)
+def _enrolled() -> list[R.Rule]:
+    return [_reason(F.col("enrollment_id").isNull(), "enrollment_not_found")]
 
 
 # -- grades -----------------------------------------------------------------
@@ -155,13 +151,13 @@ def record_grades(tables: Tables, commands: DataFrame, order: Sequence[str] = ("
     The last valid command of a key wins.  A NULL weight overwrites too.
     """
     order = list(order)
-    entry = R.broken([R.number("score", "double"), R.in_range("score", on="raw"), R.number("weight", "double")])
-    linked = salted_join(commands, enrollment_of(tables, commands), _PAIR, order, "left")
-    stored = R.broken(
-        [R.required("assessment"), R.max_length("assessment", 50), R.number("weight", "decimal(3,2)")]
+    valid, rejected = _judge(
+        _linked(tables, commands),
+        commands.columns,
+        [R.number("score", "double"), R.in_range("score", on="raw"), R.number("weight", "double")],
+        _enrolled(),
+        [R.required("assessment"), R.max_length("assessment", 50), R.number("weight", "decimal(3,2)")],
     )
-    flagged = linked.withColumn(R.REASONS, R.first_failing(entry, _not_enrolled(), stored))
-    valid, rejected = R.split_by_reasons(flagged)
     typed = fit_lengths(
         valid.select(
             "enrollment_id",
@@ -174,10 +170,11 @@ def record_grades(tables: Tables, commands: DataFrame, order: Sequence[str] = ("
     )
     key = ["enrollment_id", "assessment_type"]
     changes = stage(last_wins(typed, key, ["_order"]).drop("_order"))
+    small = fits_broadcast(changes)
 
-    old = tables["grades"]
-    spread = ["grade_id"] if "grade_id" in old.columns else ["score", "weight"]
-    update = salted_join(old, changes.withColumn("_hit", F.lit(True)), key, spread, "left")
+    old = conform(tables["grades"], schemas.GRADES)
+    news = changes.withColumn("_hit", F.lit(True))
+    update = old.join(F.broadcast(news) if small else news, key, "left")
     hit = F.col("_hit").isNotNull()
     updated = update.withColumns(
         {
@@ -185,17 +182,12 @@ def record_grades(tables: Tables, commands: DataFrame, order: Sequence[str] = ("
             "weight": F.when(hit, F.col("new_weight")).otherwise(F.col("weight")),
         }
     ).select(*old.columns)
-    matched = salted_join(old.select(*key, *spread), changes.select(*key), key, spread, "left_semi")
-    fresh = changes.join(distinct_keys(matched, key), key, "left_anti").select(
+    fresh = changes.join(held_keys(old, changes, key, small), key, "left_anti").select(
         *key, F.col("new_score").alias("score"), F.col("new_weight").alias("weight")
     )
     _, added = _append(tables, "grades", fresh, key)
-    grades = conform(updated, schemas.GRADES).unionByName(added)
     return Outcome(
-        {**tables, "grades": grades},
-        {"grades": added},
-        rejected.select(*commands.columns, R.REASONS),
-        ("grades",),
+        {**tables, "grades": updated.unionByName(added)}, {"grades": added}, rejected, ("grades",)
     )
 
 
@@ -214,18 +206,11 @@ def mark_attendance(
     column; a NULL in that column is stored as it is.
     """
     order = list(order)
-    dated = commands if "attendance_date" in commands.columns else commands.withColumn("attendance_date", _today(as_of))
-    linked = salted_join(dated, enrollment_of(tables, commands), _PAIR, order, "left")
-    entry = R.broken([R.one_of("status")])
-    flagged = linked.withColumn(R.REASONS, R.first_failing(entry, _not_enrolled()))
-    valid, rejected = R.split_by_reasons(flagged)
-    rows = valid.select(*dict.fromkeys(["enrollment_id", "attendance_date", "status", *order]))
+    valid, rejected = _judge(_linked(tables, commands), commands.columns, [R.one_of("status")], _enrolled())
+    dated = with_defaults(valid, {"attendance_date": _today(as_of)})
+    rows = dated.select(*dict.fromkeys(["enrollment_id", "attendance_date", "status", *order]))
     attendance, added = _append(tables, "attendance", rows, order)
-    return Outcome(
-        {**tables, "attendance": attendance},
-        {"attendance": added},
-        rejected.select(*commands.columns, R.REASONS),
-    )
+    return Outcome({**tables, "attendance": attendance}, {"attendance": added}, rejected)
 
 
 # -- grade feed -------------------------------------------------------------
@@ -249,47 +234,41 @@ def load_grades(
     pair = ["student_ref_id", "course_code_ref"]
     students = tables["students"].select(F.col("student_id").alias(pair[0]), "student_id")
     courses = tables["courses"].select(F.col("course_code").alias(pair[1]), "course_id")
-    resolved = resolve_pairs(distinct_keys(feed, pair), students, courses, *pair)
+    links = link_pairs(feed, students, courses, tables["enrollments"], *pair)
 
-    known = resolved.where(all_set(["student_id", "course_id"]))
-    existing = first_enrollments(tables["enrollments"], known)
+    known = all_set(["student_id", "course_id"])
     missing = (
-        known.select("student_id", "course_id")
-        .join(existing, ["student_id", "course_id"], "left_anti")
+        links.where(known & F.col("enrollment_id").isNull())
+        .select("student_id", "course_id")
         .withColumn("semester", F.lit(schemas.FEED_SEMESTER))
         .withColumn("enrollment_date", _today(as_of))
     )
     enrollments, opened = _append(tables, "enrollments", missing, ["student_id", "course_id"])
-    ids = existing.unionByName(opened.select(*existing.columns))
-    links = known.join(ids, ["student_id", "course_id"]).select(*pair, "enrollment_id")
-
-    spread = [c for c in feed.columns if c not in pair]
-    linked = salted_join(feed, links, pair, spread, "left")
-    # Which of the two misses is reported depends on the student alone.
-    ref = students.withColumnRenamed("student_id", "_known")
-    linked = salted_join(linked, find(ref, pair[0], "_known", feed), [pair[0]], [pair[1], *spread], "left")
-    skip = F.when(F.col("_known").isNull(), F.array(F.lit("student_not_found"))).when(
-        F.col("enrollment_id").isNull(), F.array(F.lit("course_not_found"))
-    )
-    empty = F.array().cast("array<string>")
-    stored = R.broken(
-        [
-            R.required("assessment"),
-            R.max_length("assessment", 50),
-            R.number("score"),
-            R.in_range("score"),
-            R.number("weight", "decimal(3,2)"),
-        ]
+    made = opened.select("student_id", "course_id", F.col("enrollment_id").alias("_made"))
+    links = links.join(made, ["student_id", "course_id"], "left").select(
+        *pair, "student_id", "course_id", F.coalesce("enrollment_id", "_made").alias("enrollment_id")
     )
-    flagged = linked.withColumn("_skip", F.coalesce(skip, empty)).withColumn("_bad", stored)
-    flagged = flagged.withColumn(R.REASONS, R.first_failing(F.col("_skip"), F.col("_bad")))
-    valid, rejected = R.split_by_reasons(flagged)
+
+    linked = null_safe_left(feed, links, pair)
+    found = [
+        [_reason(F.col("student_id").isNull(), "student_not_found")],
+        [_reason(F.col("course_id").isNull(), "course_not_found")],
+    ]
+    stored = [
+        R.required("assessment"),
+        R.max_length("assessment", 50),
+        R.number("score"),
+        R.in_range("score"),
+        R.number("weight", "decimal(3,2)"),
+    ]
     if strict:
-        bad = rejected.where(F.size("_skip") == 0)
-        first = bad.select(F.array_join(R.REASONS, ",").alias("why")).first()
+        _, bad = R.apply_rules(feed, stored)
+        _, refused = _judge(null_safe_left(bad, links, pair).where(known), [], stored)
+        first = refused.select(F.array_join(R.REASONS, ",").alias("why")).first()
         if first is not None:
             raise ValueError(f"grade feed refused: {first['why']}")
 
+    valid, rejected = _judge(linked, feed.columns, *found, stored)
     rows = fit_lengths(
         coerce(valid.withColumnRenamed("assessment", "assessment_type"), schemas.GRADES).select(
             "enrollment_id", "assessment_type", "score", "weight"
@@ -297,11 +276,11 @@ def load_grades(
         schemas.MAX_LENGTH["grades"],
     )
     if dedupe_on:
-        held = distinct_keys(tables["grades"], list(dedupe_on))
-        rows = rows.dropDuplicates(list(dedupe_on)).join(held, list(dedupe_on), "left_anti")
+        key = list(dedupe_on)
+        rows = rows.dropDuplicates(key).join(held_keys(tables["grades"], rows, key, False), key, "left_anti")
     grades, added = _append(tables, "grades", rows, None)
     return Outcome(
         {**tables, "enrollments": enrollments, "grades": grades},
         {"enrollments": opened, "grades": added},
-        rejected.select(*feed.columns, R.REASONS),
+        rejected,
     )

@@ -23,7 +23,7 @@ from rollbook.functions.exact import (
     mean_units,
     merge_parts,
 )
-from rollbook.functions.skew import all_set, distinct_keys, salted_join
+from rollbook.functions.joins import all_set, distinct_keys, fits_broadcast
 from rollbook.operators.lookup import with_match
 
 _ROWS = "_rows"
@@ -179,25 +179,19 @@ def transcripts_for(
 ) -> DataFrame:
     """Transcripts of the requested emails only.
 
-    The request reduces each table before anything is aggregated.  A handful of
-    emails is broadcast all the way down and no large table is shuffled.
+    A request that was counted and is small enough reduces each table by
+    broadcast before anything is shuffled.  Beyond that size the full report is
+    computed for the requested students, hot enrollments folded as always.
     """
-    people = with_match(students, requests, ["email"])
-    theirs = salted_join(
-        enrollments.select("enrollment_id", "student_id", "course_id", "semester"),
-        people.select("student_id"),
-        ["student_id"],
-        ["enrollment_id"],
-        "left_semi",
-    )
-    scores = salted_join(
-        grades.select("enrollment_id", "score"),
-        theirs.select("enrollment_id"),
-        ["enrollment_id"],
-        ["score"],
-        "left_semi",
-    )
-    return transcripts(people, courses, theirs, scores)
+    asked = distinct_keys(requests, ["email"])
+    if not fits_broadcast(asked):
+        return transcripts(with_match(students, asked, ["email"]), courses, enrollments, grades)
+    people = students.join(F.broadcast(asked), "email", "left_semi")
+    theirs = enrollments.join(F.broadcast(people.select("student_id")), "student_id", "left_semi")
+    ids = theirs.select("enrollment_id")
+    if fits_broadcast(ids):
+        grades = grades.join(F.broadcast(ids), "enrollment_id", "left_semi")
+    return transcripts(people, courses, theirs, grades)
 
 
 def deans_list_by_course(
