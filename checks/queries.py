@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import LINE_ORDER, view, views
 from rollbook import schemas
-from rollbook.functions.staging import staging_root
+from rollbook.functions.staging import stage, staging_root
 from rollbook.functions.text import derive_email
 from rollbook.operators import integrity as I
 from rollbook.operators import keys as K
@@ -306,7 +306,7 @@ def add_students(spark: SparkSession, sf: str) -> DataFrame:
     dob = F.expr(
         "case when seq % 31 = 0 then '9999-99-99' when seq % 37 = 0 then '24-1-1' else cast(placed as string) end"
     )
-    calls = people.join(orders, "seq").withColumn("dob", dob).drop("placed")
+    calls = stage(people.join(orders, "seq").withColumn("dob", dob).drop("placed"))
     done = C.add_students(_targets(spark, sf, students="held_students"), calls)
     accepted = done.added["students"].select("student_id", "email", "date_of_birth")
     return accepted.unionByName(done.rejected.select("seq", "email", _why()), allowMissingColumns=True)
@@ -323,7 +323,7 @@ def register_students(spark: SparkSession, sf: str) -> DataFrame:
         F.expr("case when o_orderkey % 53 = 0 then 'Spring of a year long ago' else semester end").alias("semester"),
     )
     tables = _targets(spark, sf, students="students", courses="courses", enrollments="held_enrollments")
-    done = C.register_students(tables, calls, AS_OF)
+    done = C.register_students(tables, stage(calls), AS_OF)
     return done.added["enrollments"].unionByName(
         done.rejected.select("seq", "email", "course_code", _why()), allowMissingColumns=True
     )
@@ -364,7 +364,7 @@ def record_grades(spark: SparkSession, sf: str) -> DataFrame:
         {"assessment_type": "assessment", "text": "score", "part": "weight"}
     )
     tables = _targets(spark, sf, students="students", courses="courses", enrollments="enrollments")
-    done = C.record_grades({**tables, "grades": conform(held, schemas.GRADES)}, calls, order)
+    done = C.record_grades({**tables, "grades": conform(held, schemas.GRADES)}, stage(calls), order)
     rejected = done.rejected.select(
         F.col("assessment").alias("assessment_type"), "email", "course_code", F.col("o_score").alias("score"), _why()
     )
@@ -378,7 +378,7 @@ def mark_attendance(spark: SparkSession, sf: str) -> DataFrame:
     tables = _targets(
         spark, sf, students="students", courses="courses", enrollments="enrollments", attendance="attendance"
     )
-    done = C.mark_attendance(tables, calls)
+    done = C.mark_attendance(tables, stage(calls))
     return done.added["attendance"].unionByName(
         done.rejected.select("seq", "status", _why()), allowMissingColumns=True
     )
@@ -417,7 +417,7 @@ def _feed_result(done: C.Outcome) -> DataFrame:
 
 @query
 def grade_feed_load(spark: SparkSession, sf: str) -> DataFrame:
-    return _feed_result(C.load_grades(_feed_targets(spark, sf), _grade_feed(spark, sf), AS_OF))
+    return _feed_result(C.load_grades(_feed_targets(spark, sf), stage(_grade_feed(spark, sf)), AS_OF))
 
 
 # -- feeds and files --------------------------------------------------------

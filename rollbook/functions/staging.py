@@ -1,18 +1,23 @@
 """Written intermediate tables.
 
 A few steps need rows that do not change when an executor is lost, above all
-id assignment.  Such rows are written as Parquet to the shared checkpoint
-folder and read back, which also cuts the lineage.
+id assignment, and some results have several consumers.  Such rows are written
+as Parquet to the shared checkpoint folder and read back, which also cuts the
+lineage.
 """
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_local = threading.local()
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -31,5 +36,26 @@ def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return the written rows."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/staged-{uuid.uuid4().hex}"
+    for paths in getattr(_local, "scopes", []):
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was staged inside.
+
+    For callers whose results are written by then, such as a publish; frames
+    built inside must not be used afterwards.
+    """
+    scopes = _local.__dict__.setdefault("scopes", [])
+    paths: list[str] = []
+    scopes.append(paths)
+    try:
+        yield
+    finally:
+        scopes.remove(paths)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

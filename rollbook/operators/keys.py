@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,16 +111,15 @@ def load_counters(
     """
     counts = {"extracted": extracted, "kept": kept, "processed": processed, "inserted": inserted}
     parts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("metric"), "rows")
-        for name, df in counts.items()
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("step"), "n") for name, df in counts.items()
     ]
-    gap = (
-        processed.agg(F.count(F.lit(1)).alias("rows"))
-        .unionAll(inserted.agg((-F.count(F.lit(1))).alias("rows")))
+    # skipped = processed - inserted, from the four numbers
+    sign = F.when(F.col("step") == "processed", 1).when(F.col("step") == "inserted", -1).otherwise(0)
+    own = F.struct(F.col("step").alias("metric"), F.col("n").alias("rows"))
+    gap = F.struct(F.lit("skipped").alias("metric"), (F.col("n") * sign).alias("rows"))
+    return (
+        reduce(DataFrame.unionAll, parts)
+        .select(F.inline(F.array(own, gap)))
+        .groupBy("metric")
         .agg(F.sum("rows").alias("rows"))
-        .select(F.lit("skipped").alias("metric"), "rows")
     )
-    out = gap
-    for part in parts:
-        out = out.unionAll(part)
-    return out

@@ -185,7 +185,7 @@ def record_grades(tables: Tables, commands: DataFrame, order: Sequence[str] = ("
     fresh = changes.join(held_keys(old, changes, key, small), key, "left_anti").select(
         *key, F.col("new_score").alias("score"), F.col("new_weight").alias("weight")
     )
-    _, added = _append(tables, "grades", fresh, key)
+    _, added = _append(tables, "grades", fresh, None)
     return Outcome(
         {**tables, "grades": updated.unionByName(added)}, {"grades": added}, rejected, ("grades",)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook import schemas
+from rollbook.functions.staging import staging_scope
 from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, drop_missing, fit_lengths, rename
 from rollbook.operators.keys import assign_ids, insert_absent, load_counters, next_id
@@ -114,32 +115,28 @@ def run_loads(
 ) -> dict[str, DataFrame]:
     """People, then catalog, then grades, published as one new state.
 
-    Any error before the publish leaves the stored state as it was.  Returns
-    the rejected rows per feed.
+    Any error before the publish leaves the stored state as it was.  Rejected
+    rows are set aside in the store and returned per feed.
     """
-    tables = store.read()
-    added: dict[str, DataFrame] = {}
-    rejected: dict[str, DataFrame] = {}
+    batch = batch or f"load-{store.version() + 1}"
     steps = []
     if sources.people is not None:
         steps.append(("people", lambda t: load_people(t, read_people(spark, sources.people), strict=strict)[0]))
     if sources.catalog is not None:
         steps.append(("catalog", lambda t: load_catalog(t, read_catalog(spark, sources.catalog), strict=strict)[0]))
     if sources.grades is not None:
+        lines = sources.grades_json_lines
         steps.append(
-            (
-                "grades",
-                lambda t: load_grades(
-                    t,
-                    read_grades(spark, sources.grades, json_lines=sources.grades_json_lines),
-                    as_of,
-                    strict,
-                ),
-            )
+            ("grades", lambda t: load_grades(t, read_grades(spark, sources.grades, json_lines=lines), as_of, strict))
         )
-    for name, step in steps:
-        outcome = step(tables)
-        tables, rejected[name] = outcome.tables, outcome.rejected
-        added.update(outcome.added)
-    store.publish(append=added, batch=batch)
+    with staging_scope(spark):
+        tables = store.read()
+        added: dict[str, DataFrame] = {}
+        rejected: dict[str, DataFrame] = {}
+        for name, step in steps:
+            outcome = step(tables)
+            tables = outcome.tables
+            added.update(outcome.added)
+            rejected[name] = store.set_aside(outcome.rejected, name, batch)
+        store.publish(append=added, batch=batch)
     return rejected

@@ -24,6 +24,7 @@ from rollbook.functions.exact import (
     merge_parts,
 )
 from rollbook.functions.joins import all_set, distinct_keys, fits_broadcast
+from rollbook.functions.staging import stage
 from rollbook.operators.lookup import with_match
 
 _ROWS = "_rows"
@@ -183,11 +184,15 @@ def transcripts_for(
     broadcast before anything is shuffled.  Beyond that size the full report is
     computed for the requested students, hot enrollments folded as always.
     """
-    asked = distinct_keys(requests, ["email"])
+    asked = stage(distinct_keys(requests, ["email"]))
     if not fits_broadcast(asked):
         return transcripts(with_match(students, asked, ["email"]), courses, enrollments, grades)
     people = students.join(F.broadcast(asked), "email", "left_semi")
-    theirs = enrollments.join(F.broadcast(people.select("student_id")), "student_id", "left_semi")
+    theirs = stage(
+        enrollments.select("enrollment_id", "student_id", "course_id", "semester").join(
+            F.broadcast(people.select("student_id")), "student_id", "left_semi"
+        )
+    )
     ids = theirs.select("enrollment_id")
     if fits_broadcast(ids):
         grades = grades.join(F.broadcast(ids), "enrollment_id", "left_semi")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook import schemas
+from rollbook.functions.staging import stage, staging_scope
 from rollbook.plans import commands as C
 from rollbook.sources.store import TableStore
 
@@ -16,27 +17,31 @@ def apply_batch(
     """Apply one batch of commands to the stored tables unless it has been applied.
 
     The batch name goes into the manifest together with the rows it wrote, so a
-    batch that is played again after a failure changes nothing.
+    batch that is played again after a failure changes nothing.  Refused commands
+    are set aside in the store.
     """
     if store.has_batch(batch):
         return
-    store = TableStore(commands.sparkSession, store.root)
-    tables = store.read()
-    if verb == "add_students":
-        outcome = C.add_students(tables, commands)
-    elif verb == "register_students":
-        outcome = C.register_students(tables, commands, as_of)
-    elif verb == "record_grades":
-        outcome = C.record_grades(tables, commands)
-    elif verb == "mark_attendance":
-        outcome = C.mark_attendance(tables, commands, as_of)
-    else:
+    if verb not in schemas.COMMANDS:
         raise ValueError(f"unknown verb {verb}")
-    store.publish(
-        replace={t: outcome.tables[t] for t in outcome.changed},
-        append={t: df for t, df in outcome.added.items() if t not in outcome.changed},
-        batch=batch,
-    )
+    spark = commands.sparkSession
+    store = TableStore(spark, store.root)
+    with staging_scope(spark):
+        tables, calls = store.read(), stage(commands)
+        if verb == "add_students":
+            outcome = C.add_students(tables, calls)
+        elif verb == "register_students":
+            outcome = C.register_students(tables, calls, as_of)
+        elif verb == "record_grades":
+            outcome = C.record_grades(tables, calls)
+        else:
+            outcome = C.mark_attendance(tables, calls, as_of)
+        store.set_aside(outcome.rejected, verb, batch)
+        store.publish(
+            replace={t: outcome.tables[t] for t in outcome.changed},
+            append={t: df for t, df in outcome.added.items() if t not in outcome.changed},
+            batch=batch,
+        )
 
 
 def start_command_stream(

@@ -19,8 +19,10 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        4,
+        2,
         spark__ui__showConsoleProgress="false",
+        # compiling a plan takes longer than running it on a few rows
+        spark__sql__codegen__wholeStage="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("staged")),
     )
     session.sparkContext.setLogLevel("ERROR")
