@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rollbook import schemas
 from rollbook.functions.joins import all_set
+from rollbook.functions.staging import stage
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
@@ -50,18 +51,20 @@ def cascade_delete(
 
     ``keys_df`` holds the root's primary key.  ``fk_graph`` lists parents before
     children.  A row falls with the first of its references that falls; a NULL
-    reference keeps it.
+    reference keeps it.  The ids that fall are written per table: they are looked
+    up several times, and Spark then knows whether they are small.
     """
     kept = dict(tables)
     root_key = primary_keys[root]
-    doomed = keys_df.select(root_key).where(F.col(root_key).isNotNull()).distinct()
+    doomed = stage(keys_df.select(root_key).where(F.col(root_key).isNotNull()).distinct())
+    fallen = {root: doomed}
     deleted = {root: tables[root].join(doomed, root_key, "left_semi")}
     kept[root] = tables[root].join(doomed, root_key, "left_anti")
     for child in dict.fromkeys(edge[0] for edge in fk_graph):
         falls = [
-            (fk, deleted[parent].select(F.col(pk).alias(fk)))
+            (fk, fallen[parent].select(F.col(pk).alias(fk)))
             for c, fk, parent, pk in fk_graph
-            if c == child and parent in deleted
+            if c == child and parent in fallen
         ]
         if not falls or child not in tables:
             continue
@@ -71,6 +74,8 @@ def cascade_delete(
             rest = rest.join(keys, fk, "left_anti")
         kept[child] = rest.select(*tables[child].columns)
         deleted[child] = reduce(DataFrame.unionByName, [g.select(*tables[child].columns) for g in gone])
+        if any(parent == child for _, _, parent, _ in fk_graph):
+            fallen[child] = stage(deleted[child].select(primary_keys[child]))
     return kept, deleted
 
 

@@ -92,7 +92,7 @@ def assign_ids(
     new_id = F.col("_shift") + F.col("_at").bitwiseAND(F.lit(_LOW_BITS)) + F.lit(start)
     return (
         written.withColumn("_part", part)
-        .join(shifts, "_part")
+        .join(F.broadcast(shifts), "_part")  # one row per partition
         .withColumn(id_col, new_id.cast("bigint"))
         .drop("_part", "_shift", "_at")
     )

@@ -22,6 +22,7 @@ from rollbook.operators.clean import coerce, conform, fit_lengths, with_defaults
 from rollbook.operators.integrity import cascade_delete
 from rollbook.operators.keys import assign_ids, insert_absent, last_wins, next_id
 from rollbook.operators.lookup import find, held_keys, link_pairs, without_match
+from rollbook.sources.feeds import ABSENT
 
 Tables = Mapping[str, DataFrame]
 _PAIR = ["email", "course_code"]
@@ -216,6 +217,10 @@ def mark_attendance(
 # -- grade feed -------------------------------------------------------------
 
 
+def _lacks(key: str) -> R.Rule:
+    return _reason(F.array_contains(ABSENT, key), f"{key}_absent")
+
+
 def load_grades(
     tables: Tables,
     feed: DataFrame,
@@ -250,11 +255,14 @@ def load_grades(
     )
 
     linked = null_safe_left(feed, links, pair)
+    # A key that is missing altogether is an error; the references come first.
+    named = [_lacks(c) for c in pair if ABSENT in feed.columns]
     found = [
         [_reason(F.col("student_id").isNull(), "student_not_found")],
         [_reason(F.col("course_id").isNull(), "course_not_found")],
     ]
     stored = [
+        *[_lacks(c) for c in ("assessment", "score", "weight") if ABSENT in feed.columns],
         R.required("assessment"),
         R.max_length("assessment", 50),
         R.number("score"),
@@ -262,13 +270,14 @@ def load_grades(
         R.number("weight", "decimal(3,2)"),
     ]
     if strict:
-        _, bad = R.apply_rules(feed, stored)
-        _, refused = _judge(null_safe_left(bad, links, pair).where(known), [], stored)
+        _, bad = R.apply_rules(feed, [*named, *stored])
+        ok = R.passes(named)
+        _, refused = _judge(null_safe_left(bad, links, pair).where(~ok | known), [], named, stored)
         first = refused.select(F.array_join(R.REASONS, ",").alias("why")).first()
         if first is not None:
             raise ValueError(f"grade feed refused: {first['why']}")
 
-    valid, rejected = _judge(linked, feed.columns, *found, stored)
+    valid, rejected = _judge(linked, feed.columns, named, *found, stored)
     rows = fit_lengths(
         coerce(valid.withColumnRenamed("assessment", "assessment_type"), schemas.GRADES).select(
             "enrollment_id", "assessment_type", "score", "weight"

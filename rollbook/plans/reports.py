@@ -307,11 +307,9 @@ def _activity_sizes(rows: DataFrame) -> DataFrame:
 
 
 def _enrolled(students: DataFrame, courses: DataFrame, enrollments: DataFrame) -> DataFrame:
-    return (
-        enrollments.select("enrollment_id", "student_id", "course_id")
-        .join(students.select("student_id", "first_name", "last_name", "email"), "student_id")
-        .join(courses.select("course_id", "course_code"), "course_id")
-    )
+    return enrollments.join(
+        students.select("student_id", "first_name", "last_name", "email"), "student_id"
+    ).join(courses.select("course_id", "course_code"), "course_id")
 
 
 def activity_log(
@@ -329,24 +327,25 @@ def activity_log(
     m + n.  An enrollment with neither has one row of kind ``none``.
     """
     rows = _activity_rows(grades, attendance)
+    sized = enrollments.select("enrollment_id", "student_id", "course_id").join(
+        _activity_sizes(rows), "enrollment_id", "left"
+    )
+    names = ["enrollment_id", "first_name", "last_name", "course_code"]
+    base = _enrolled(students, courses, sized).select(*names, "n_grades", "n_attendance")
     other = F.when(F.col("kind") == "grade", F.col("n_attendance")).otherwise(F.col("n_grades"))
-    return (
-        _enrolled(students, courses, enrollments)
-        .join(_activity_sizes(rows), "enrollment_id", "left")
-        .join(rows, "enrollment_id", "left")
-        .select(
-            "enrollment_id",
-            "first_name",
-            "last_name",
-            "course_code",
-            F.coalesce("kind", F.lit("none")).alias("kind"),
-            "assessment_type",
-            "score",
-            "status",
-            "attendance_date",
-            F.coalesce(F.col("copies") * F.greatest(other, F.lit(1)), F.lit(1)).alias("times"),
-        )
+    listed = rows.join(base, "enrollment_id").select(
+        *names,
+        "kind",
+        "assessment_type",
+        "score",
+        "status",
+        "attendance_date",
+        (F.col("copies") * F.greatest(other, F.lit(1))).alias("times"),
+    )
+    idle = base.where(F.col("n_grades").isNull()).select(
+        *names, F.lit("none").alias("kind"), F.lit(1).cast("bigint").alias("times")
     )
+    return listed.unionByName(idle, allowMissingColumns=True)
 
 
 def activity_detail(
@@ -365,7 +364,8 @@ def activity_detail(
     get the same facts in linear size.
     """
     asked = distinct_keys(requests, ["email", "course_code"])
-    wanted = _enrolled(students, courses, enrollments).join(asked, ["email", "course_code"], "left_semi")
+    base = enrollments.select("enrollment_id", "student_id", "course_id")
+    wanted = _enrolled(students, courses, base).join(asked, ["email", "course_code"], "left_semi")
     ids = wanted.select("enrollment_id")
     marks = grades.join(ids, "enrollment_id", "left_semi")
     days = attendance.join(ids, "enrollment_id", "left_semi")

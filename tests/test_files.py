@@ -9,6 +9,8 @@ from decimal import Decimal as D
 import pytest
 from pyspark.errors import AnalysisException
 
+from rollbook import schemas
+from rollbook.plans import commands as C
 from rollbook.plans import loads as L
 from rollbook.plans import reports as A
 from rollbook.sources import exports, feeds
@@ -110,10 +112,30 @@ def test_grade_feed_array_and_lines(spark, tmp_path):
     ]
     feed = feeds.read_grades(spark, write_grades(tmp_path, items))
     assert rows(feed, "student_ref_id", "score", "weight") == [(1, "88.5", "0.4"), (2, "60", None)]
-    feeds.write_json_feed(feed.drop(feeds.ORDER), str(tmp_path / "lines"))
+    names = schemas.GRADE_FEED.names
+    feeds.write_json_feed(feed.select(names), str(tmp_path / "lines"))
     again = feeds.read_grades(spark, str(tmp_path / "lines"), json_lines=True)
-    assert rows(again.drop(feeds.ORDER)) == rows(feed.drop(feeds.ORDER))
-    assert feeds.missing_keys(feed).count() == 0
+    assert rows(again, *names, feeds.ABSENT) == rows(feed, *names, feeds.ABSENT)
+    (tmp_path / "broken.json").write_text("[{")
+    with pytest.raises(Exception, match="MALFORMED|malformed|parse"):
+        feeds.read_grades(spark, str(tmp_path / "broken.json")).collect()
+
+
+def test_key_missing_is_an_error_but_null_is_not(spark, tmp_path, school):
+    good = {"student_ref_id": 1, "course_code_ref": "M1", "assessment": "F", "score": None, "weight": 0.4}
+
+    def load(item, strict):
+        return C.load_grades(school, feeds.read_grades(spark, write_grades(tmp_path, [item])), strict=strict)
+
+    assert rows(load(good, True).added["grades"], "score") == [(None,)]
+    short = {k: v for k, v in good.items() if k != "score"}
+    with pytest.raises(ValueError, match="score_absent"):
+        load(short, True)
+    assert rows(load(short, False).rejected, "reasons") == [(["score_absent"],)]
+    # the student is looked up before the score is read
+    assert rows(load({**short, "student_ref_id": 9}, True).rejected, "reasons") == [(["student_not_found"],)]
+    with pytest.raises(ValueError, match="student_ref_id_absent"):
+        load({k: v for k, v in good.items() if k != "student_ref_id"}, True)
 
 
 @pytest.mark.parametrize("shared", [True, False])
