@@ -25,6 +25,8 @@ from rollbook.operators.lookup import find, held_keys, link_pairs, without_match
 from rollbook.sources.feeds import ABSENT
 
 Tables = Mapping[str, DataFrame]
+# First free id per table.  Without it the highest id in use is looked up.
+NextIds = Mapping[str, int] | None
 _PAIR = ["email", "course_code"]
 
 
@@ -57,12 +59,17 @@ def _today(as_of: Column | str | None) -> Column:
     return F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
 
 
-def _append(tables: Tables, table: str, rows: DataFrame, order: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
-    """(table with the rows, the rows), ids given and declared columns only."""
+def _with_ids(
+    tables: Tables, table: str, rows: DataFrame, order: Sequence[str] | None, next_ids: NextIds
+) -> DataFrame:
+    """The rows with ids given and declared columns only."""
     pk = schemas.PRIMARY_KEYS[table]
-    with_ids = assign_ids(rows, pk, next_id(tables[table], pk), order)
-    new = conform(with_ids, schemas.TABLES[table])
-    return conform(tables[table], schemas.TABLES[table]).unionByName(new), new
+    start = next_ids[table] if next_ids else next_id(tables[table], pk)
+    return conform(assign_ids(rows, pk, start, order), schemas.TABLES[table])
+
+
+def _grown(tables: Tables, table: str, added: DataFrame) -> DataFrame:
+    return conform(tables[table], schemas.TABLES[table]).unionByName(added)
 
 
 def _reason(test: Column, reason: str) -> R.Rule:
@@ -82,7 +89,9 @@ def _judge(
 # -- students ---------------------------------------------------------------
 
 
-def add_students(tables: Tables, commands: DataFrame, order: Sequence[str] = ("seq",)) -> Outcome:
+def add_students(
+    tables: Tables, commands: DataFrame, order: Sequence[str] = ("seq",), next_ids: NextIds = None
+) -> Outcome:
     """Create students.  A taken email is an error, also inside the batch."""
     order = list(order)
     columns = ["first_name", "last_name", "email", "major"]
@@ -92,9 +101,11 @@ def add_students(tables: Tables, commands: DataFrame, order: Sequence[str] = ("s
     valid = fit_lengths(valid, schemas.MAX_LENGTH["students"])
     inserted, taken = insert_absent(tables["students"], valid, ["email"], order)
     rows = inserted.withColumn("date_of_birth", F.col("dob").try_cast("date"))
-    students, added = _append(tables, "students", rows, order)
+    added = _with_ids(tables, "students", rows, order, next_ids)
     taken = taken.select(*commands.columns).withColumn(R.REASONS, F.array(F.lit("duplicate_email")))
-    return Outcome({**tables, "students": students}, {"students": added}, rejected.unionByName(taken))
+    return Outcome(
+        {**tables, "students": _grown(tables, "students", added)}, {"students": added}, rejected.unionByName(taken)
+    )
 
 
 def delete_students(tables: Tables, requests: DataFrame) -> Outcome:
@@ -113,6 +124,7 @@ def register_students(
     commands: DataFrame,
     as_of: Column | str | None = None,
     order: Sequence[str] = ("seq",),
+    next_ids: NextIds = None,
 ) -> Outcome:
     """Enroll by email and course code; an enrollment that exists is left alone."""
     order = list(order)
@@ -129,8 +141,10 @@ def register_students(
     batch = stage(valid.select(*dict.fromkeys([*key, *order])))
     inserted, _ = insert_absent(tables["enrollments"], batch, key, order)
     rows = inserted.withColumn("enrollment_date", _today(as_of))
-    enrollments, added = _append(tables, "enrollments", rows, order)
-    return Outcome({**tables, "enrollments": enrollments}, {"enrollments": added}, rejected)
+    added = _with_ids(tables, "enrollments", rows, order, next_ids)
+    return Outcome(
+        {**tables, "enrollments": _grown(tables, "enrollments", added)}, {"enrollments": added}, rejected
+    )
 
 
 def _linked(tables: Tables, commands: DataFrame) -> DataFrame:
@@ -146,10 +160,16 @@ def _enrolled() -> list[R.Rule]:
 # -- grades -----------------------------------------------------------------
 
 
-def record_grades(tables: Tables, commands: DataFrame, order: Sequence[str] = ("seq",)) -> Outcome:
-    """Set the grade of (enrollment, assessment): update all its rows, else insert one.
+_GRADE_KEY = ["enrollment_id", "assessment_type"]
+
+
+def grade_changes(
+    tables: Tables, commands: DataFrame, order: Sequence[str] = ("seq",)
+) -> tuple[DataFrame, DataFrame]:
+    """(winning change per enrollment and assessment, refused commands).
 
-    The last valid command of a key wins.  A NULL weight overwrites too.
+    The last valid command of a key wins.  The changes are written: they are
+    used several times.
     """
     order = list(order)
     valid, rejected = _judge(
@@ -169,13 +189,19 @@ def record_grades(tables: Tables, commands: DataFrame, order: Sequence[str] = ("
         ),
         schemas.MAX_LENGTH["grades"],
     )
-    key = ["enrollment_id", "assessment_type"]
-    changes = stage(last_wins(typed, key, ["_order"]).drop("_order"))
-    small = fits_broadcast(changes)
+    return stage(last_wins(typed, _GRADE_KEY, ["_order"]).drop("_order")), rejected
+
+
+def apply_changes(grades: DataFrame, changes: DataFrame, next_ids: NextIds = None) -> tuple[DataFrame, DataFrame]:
+    """(old rows brought up to date, rows to add).
 
-    old = conform(tables["grades"], schemas.GRADES)
+    All rows of a key take the change, a NULL weight included.  ``grades`` may
+    be any part of the table that holds all rows of the changed keys.
+    """
+    small = fits_broadcast(changes)
+    old = conform(grades, schemas.GRADES)
     news = changes.withColumn("_hit", F.lit(True))
-    update = old.join(F.broadcast(news) if small else news, key, "left")
+    update = old.join(F.broadcast(news) if small else news, _GRADE_KEY, "left")
     hit = F.col("_hit").isNotNull()
     updated = update.withColumns(
         {
@@ -183,10 +209,18 @@ def record_grades(tables: Tables, commands: DataFrame, order: Sequence[str] = ("
             "weight": F.when(hit, F.col("new_weight")).otherwise(F.col("weight")),
         }
     ).select(*old.columns)
-    fresh = changes.join(held_keys(old, changes, key, small), key, "left_anti").select(
-        *key, F.col("new_score").alias("score"), F.col("new_weight").alias("weight")
+    fresh = changes.join(held_keys(old, changes, _GRADE_KEY, small), _GRADE_KEY, "left_anti").select(
+        *_GRADE_KEY, F.col("new_score").alias("score"), F.col("new_weight").alias("weight")
     )
-    _, added = _append(tables, "grades", fresh, None)
+    return updated, _with_ids({"grades": old}, "grades", fresh, None, next_ids)
+
+
+def record_grades(
+    tables: Tables, commands: DataFrame, order: Sequence[str] = ("seq",), next_ids: NextIds = None
+) -> Outcome:
+    """Set the grade of (enrollment, assessment): update all its rows, else insert one."""
+    changes, rejected = grade_changes(tables, commands, order)
+    updated, added = apply_changes(tables["grades"], changes, next_ids)
     return Outcome(
         {**tables, "grades": updated.unionByName(added)}, {"grades": added}, rejected, ("grades",)
     )
@@ -200,6 +234,7 @@ def mark_attendance(
     commands: DataFrame,
     as_of: Column | str | None = None,
     order: Sequence[str] = ("seq",),
+    next_ids: NextIds = None,
 ) -> Outcome:
     """Append attendance rows; repeated marks stay.
 
@@ -210,8 +245,8 @@ def mark_attendance(
     valid, rejected = _judge(_linked(tables, commands), commands.columns, [R.one_of("status")], _enrolled())
     dated = with_defaults(valid, {"attendance_date": _today(as_of)})
     rows = dated.select(*dict.fromkeys(["enrollment_id", "attendance_date", "status", *order]))
-    attendance, added = _append(tables, "attendance", rows, order)
-    return Outcome({**tables, "attendance": attendance}, {"attendance": added}, rejected)
+    added = _with_ids(tables, "attendance", rows, order, next_ids)
+    return Outcome({**tables, "attendance": _grown(tables, "attendance", added)}, {"attendance": added}, rejected)
 
 
 # -- grade feed -------------------------------------------------------------
@@ -227,6 +262,7 @@ def load_grades(
     as_of: Column | str | None = None,
     strict: bool = True,
     dedupe_on: Sequence[str] | None = None,
+    next_ids: NextIds = None,
 ) -> Outcome:
     """Append a feed of grades that names students by id and courses by code.
 
@@ -248,7 +284,7 @@ def load_grades(
         .withColumn("semester", F.lit(schemas.FEED_SEMESTER))
         .withColumn("enrollment_date", _today(as_of))
     )
-    enrollments, opened = _append(tables, "enrollments", missing, ["student_id", "course_id"])
+    opened = _with_ids(tables, "enrollments", missing, ["student_id", "course_id"], next_ids)
     made = opened.select("student_id", "course_id", F.col("enrollment_id").alias("_made"))
     links = links.join(made, ["student_id", "course_id"], "left").select(
         *pair, "student_id", "course_id", F.coalesce("enrollment_id", "_made").alias("enrollment_id")
@@ -287,9 +323,13 @@ def load_grades(
     if dedupe_on:
         key = list(dedupe_on)
         rows = rows.dropDuplicates(key).join(held_keys(tables["grades"], rows, key, False), key, "left_anti")
-    grades, added = _append(tables, "grades", rows, None)
+    added = _with_ids(tables, "grades", rows, None, next_ids)
     return Outcome(
-        {**tables, "enrollments": enrollments, "grades": grades},
+        {
+            **tables,
+            "enrollments": _grown(tables, "enrollments", opened),
+            "grades": _grown(tables, "grades", added),
+        },
         {"enrollments": opened, "grades": added},
         rejected,
     )

@@ -12,7 +12,7 @@ from rollbook.functions.staging import staging_scope
 from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, drop_missing, fit_lengths, rename
 from rollbook.operators.keys import assign_ids, insert_absent, load_counters, next_id
-from rollbook.plans.commands import Outcome, Tables, load_grades
+from rollbook.plans.commands import NextIds, Outcome, Tables, load_grades
 from rollbook.sources.feeds import ORDER, read_grades, read_people
 from rollbook.sources.store import TableStore
 from rollbook.sources.workbook import read_catalog
@@ -44,11 +44,12 @@ def _refuse(rejected: DataFrame, what: str) -> None:
 
 
 def _insert(
-    tables: Tables, table: str, batch: DataFrame, order: list[str]
+    tables: Tables, table: str, batch: DataFrame, order: list[str], next_ids: NextIds = None
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     pk, keys = schemas.PRIMARY_KEYS[table], schemas.UNIQUE_KEYS[table]
     inserted, _ = insert_absent(tables[table], batch, keys, order)
-    added = conform(assign_ids(inserted, pk, next_id(tables[table], pk), order), schemas.TABLES[table])
+    start = next_ids[table] if next_ids else next_id(tables[table], pk)
+    added = conform(assign_ids(inserted, pk, start, order), schemas.TABLES[table])
     grown = conform(tables[table], schemas.TABLES[table]).unionByName(added)
     return {**tables, table: grown}, added
 
@@ -60,7 +61,11 @@ def clean_people(feed: DataFrame) -> DataFrame:
 
 
 def load_people(
-    tables: Tables, feed: DataFrame, order: tuple[str, ...] = (ORDER,), strict: bool = True
+    tables: Tables,
+    feed: DataFrame,
+    order: tuple[str, ...] = (ORDER,),
+    strict: bool = True,
+    next_ids: NextIds = None,
 ) -> tuple[Outcome, DataFrame]:
     """Insert people whose email is new, the first row of an email winning.
 
@@ -72,19 +77,23 @@ def load_people(
     if strict:
         _refuse(rejected, "people")
     batch = fit_lengths(coerce(valid, schemas.STUDENTS), schemas.MAX_LENGTH["students"])
-    grown, added = _insert(tables, "students", batch, list(order))
+    grown, added = _insert(tables, "students", batch, list(order), next_ids)
     return Outcome(grown, {"students": added}, rejected), load_counters(feed, people, batch, added)
 
 
 def load_catalog(
-    tables: Tables, feed: DataFrame, order: tuple[str, ...] = (ORDER,), strict: bool = True
+    tables: Tables,
+    feed: DataFrame,
+    order: tuple[str, ...] = (ORDER,),
+    strict: bool = True,
+    next_ids: NextIds = None,
 ) -> tuple[Outcome, DataFrame]:
     """Insert courses whose code is new."""
     valid, rejected = R.apply_rules(feed, R.table_rules("courses", feed.columns))
     if strict:
         _refuse(rejected, "catalog")
     batch = fit_lengths(valid, schemas.MAX_LENGTH["courses"])
-    grown, added = _insert(tables, "courses", batch, list(order))
+    grown, added = _insert(tables, "courses", batch, list(order), next_ids)
     return Outcome(grown, {"courses": added}, rejected), load_counters(feed, feed, batch, added)
 
 
@@ -119,16 +128,27 @@ def run_loads(
     rows are set aside in the store and returned per feed.
     """
     batch = batch or f"load-{store.version() + 1}"
-    steps = []
-    if sources.people is not None:
-        steps.append(("people", lambda t: load_people(t, read_people(spark, sources.people), strict=strict)[0]))
-    if sources.catalog is not None:
-        steps.append(("catalog", lambda t: load_catalog(t, read_catalog(spark, sources.catalog), strict=strict)[0]))
-    if sources.grades is not None:
-        lines = sources.grades_json_lines
-        steps.append(
-            ("grades", lambda t: load_grades(t, read_grades(spark, sources.grades, json_lines=lines), as_of, strict))
+    ids = store.next_ids()
+
+    def people(tables: Tables) -> Outcome:
+        return load_people(tables, read_people(spark, sources.people), strict=strict, next_ids=ids)[0]
+
+    def catalog(tables: Tables) -> Outcome:
+        return load_catalog(tables, read_catalog(spark, sources.catalog), strict=strict, next_ids=ids)[0]
+
+    def grades(tables: Tables) -> Outcome:
+        feed = read_grades(spark, sources.grades, json_lines=sources.grades_json_lines)
+        return load_grades(tables, feed, as_of, strict, next_ids=ids)
+
+    steps = [
+        (name, step)
+        for name, step, path in (
+            ("people", people, sources.people),
+            ("catalog", catalog, sources.catalog),
+            ("grades", grades, sources.grades),
         )
+        if path is not None
+    ]
     with staging_scope(spark):
         tables = store.read()
         added: dict[str, DataFrame] = {}

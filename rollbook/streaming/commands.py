@@ -27,21 +27,24 @@ def apply_batch(
     spark = commands.sparkSession
     store = TableStore(spark, store.root)
     with staging_scope(spark):
-        tables, calls = store.read(), stage(commands)
-        if verb == "add_students":
-            outcome = C.add_students(tables, calls)
-        elif verb == "register_students":
-            outcome = C.register_students(tables, calls, as_of)
-        elif verb == "record_grades":
-            outcome = C.record_grades(tables, calls)
+        tables, ids, calls = store.read(), store.next_ids(), stage(commands)
+        rewrite = {}
+        if verb == "record_grades":
+            # Only files that hold a changed grade are written again.
+            changes, rejected = C.grade_changes(tables, calls)
+            files = store.files_with("grades", changes, ["enrollment_id", "assessment_type"])
+            updated, new = C.apply_changes(store.read_files("grades", files), changes, ids)
+            rewrite, added = {"grades": (files, updated)}, {"grades": new}
         else:
-            outcome = C.mark_attendance(tables, calls, as_of)
-        store.set_aside(outcome.rejected, verb, batch)
-        store.publish(
-            replace={t: outcome.tables[t] for t in outcome.changed},
-            append={t: df for t, df in outcome.added.items() if t not in outcome.changed},
-            batch=batch,
-        )
+            if verb == "add_students":
+                done = C.add_students(tables, calls, next_ids=ids)
+            elif verb == "register_students":
+                done = C.register_students(tables, calls, as_of, next_ids=ids)
+            else:
+                done = C.mark_attendance(tables, calls, as_of, next_ids=ids)
+            rejected, added = done.rejected, done.added
+        store.set_aside(rejected, verb, batch)
+        store.publish(append=added, rewrite=rewrite, batch=batch)
 
 
 def start_command_stream(

@@ -5,6 +5,8 @@ import io
 import json
 import zipfile
 from decimal import Decimal as D
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -175,6 +177,28 @@ def test_store_publishes_whole_states(spark, tmp_path, school):
     assert store.version() == 3 and store.read()["attendance"].count() == 10
 
 
+def test_rewritten_files_are_not_read(spark, tmp_path, school):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.publish(replace={"grades": school["grades"].repartition(3, "grade_id")}, cluster=False)
+    keys = school["grades"].where("grade_id = 100").select("grade_id")
+    files = store.files_with("grades", keys, ["grade_id"])
+    assert len(files) == 1 and store.files_with("students", keys, ["student_id"]) == []
+    left = store.read_files("grades", files).where("grade_id != 100")
+    store.publish(rewrite={"grades": (files, left)})
+    Path(urlparse(files[0]).path).unlink()  # would fail if it were opened
+    assert rows(store.read()["grades"], "grade_id") == [(101,), (102,), (103,)]
+    store.compact()
+    assert store.read()["grades"].count() == 3
+
+
+def test_ids_are_not_given_again(spark, tmp_path, school):
+    store = TableStore(spark, str(tmp_path / "store"))
+    assert store.next_ids()["students"] == 1
+    store.publish(replace=school)
+    store.publish(replace={"students": school["students"].where("student_id = 1")})
+    assert store.next_ids() == {"students": 3, "courses": 4, "enrollments": 14, "grades": 104, "attendance": 9}
+
+
 def test_failed_run_leaves_the_state(spark, tmp_path, school):
     store = TableStore(spark, str(tmp_path / "store"))
     store.publish(replace=school)
