@@ -430,7 +430,7 @@ def people_csv_load(spark: SparkSession, sf: str) -> DataFrame:
     feed, target = views(spark, sf, "people_feed", "held_students")
     feeds.write_csv_feed(feed.drop("seq"), path)
     tables = {"students": conform(target, schemas.STUDENTS)}
-    done, _ = L.load_people(tables, feeds.read_people(spark, path), strict=False)
+    done, _ = L.load_people(tables, stage(feeds.read_people(spark, path)), strict=False)
     loaded = done.added["students"].select("first_name", "last_name", "email", "date_of_birth", "major")
     return loaded.unionByName(done.rejected.select("email", _why()), allowMissingColumns=True)
 
@@ -440,7 +440,7 @@ def grade_json_load(spark: SparkSession, sf: str) -> DataFrame:
     """The grade feed written as JSON, read back and loaded."""
     path = _scratch(spark, "grades")
     feeds.write_json_feed(_grade_feed(spark, sf), path)
-    feed = feeds.read_grades(spark, path, json_lines=True)
+    feed = stage(feeds.read_grades(spark, path, json_lines=True))
     return _feed_result(C.load_grades(_feed_targets(spark, sf), feed, AS_OF))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook import schemas
-from rollbook.functions.staging import staging_scope
+from rollbook.functions.staging import stage, staging_scope
 from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, drop_missing, fit_lengths, rename
 from rollbook.operators.keys import assign_ids, insert_absent, load_counters, next_id
@@ -125,19 +125,20 @@ def run_loads(
     """People, then catalog, then grades, published as one new state.
 
     Any error before the publish leaves the stored state as it was.  Rejected
-    rows are set aside in the store and returned per feed.
+    rows are set aside in the store and returned per feed.  Each feed is parsed
+    once and written in columns; several passes follow.
     """
     batch = batch or f"load-{store.version() + 1}"
     ids = store.next_ids()
 
     def people(tables: Tables) -> Outcome:
-        return load_people(tables, read_people(spark, sources.people), strict=strict, next_ids=ids)[0]
+        return load_people(tables, stage(read_people(spark, sources.people)), strict=strict, next_ids=ids)[0]
 
     def catalog(tables: Tables) -> Outcome:
-        return load_catalog(tables, read_catalog(spark, sources.catalog), strict=strict, next_ids=ids)[0]
+        return load_catalog(tables, stage(read_catalog(spark, sources.catalog)), strict=strict, next_ids=ids)[0]
 
     def grades(tables: Tables) -> Outcome:
-        feed = read_grades(spark, sources.grades, json_lines=sources.grades_json_lines)
+        feed = stage(read_grades(spark, sources.grades, json_lines=sources.grades_json_lines))
         return load_grades(tables, feed, as_of, strict, next_ids=ids)
 
     steps = [
