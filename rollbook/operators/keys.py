@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.joins import all_set, distinct_keys
@@ -14,21 +14,29 @@ from rollbook.functions.staging import stage
 _LOW_BITS = (1 << 33) - 1
 
 
+def _pick(batch: DataFrame, keys: Sequence[str], order: Sequence[str], extreme: Callable[[Column], Column]) -> DataFrame:
+    """One row per key, the extreme one when order and then the other columns are compared."""
+    lead = [c for c in order if c not in keys]
+    rest = [c for c in batch.columns if c not in keys and c not in lead]
+    if not lead + rest:
+        return batch.distinct()
+    row = extreme(F.struct(*lead, *rest)).alias("_row")
+    return batch.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*batch.columns)
+
+
 def first_wins(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row of each key by ``order``; rows with a NULL key all stay.
 
     The pick is an aggregate, so copies of a hot key are folded in the tasks
     that read them and only one row per task and key is shuffled.
     """
-    pick = F.min_by(F.struct(*batch.columns), F.struct(*order)).alias("_row")
-    complete = batch.where(all_set(keys)).groupBy(*keys).agg(pick).select("_row.*")
+    complete = _pick(batch.where(all_set(keys)), keys, order, F.min)
     return complete.unionByName(batch.where(~all_set(keys)))
 
 
 def last_wins(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row of each key by ``order``; keys must be complete."""
-    pick = F.max_by(F.struct(*batch.columns), F.struct(*order)).alias("_row")
-    return batch.groupBy(*keys).agg(pick).select("_row.*")
+    return _pick(batch, keys, order, F.max)
 
 
 def present_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
