@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import mixing, pii, secrets, sharding
+from rollbook.llm import minhash, mixing, pii, secret_scan, sharding
 from rollbook.llm.common import span_list, table
 
 _OUT: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,8 +40,14 @@ def op1_personal_data(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf, "documents"))
-    return found.select("doc_id", *_digest(found, secrets.BASE, secrets.KINDS))
+    found = secret_scan.find_secrets(table(spark, sf, "documents"))
+    return found.select("doc_id", *_digest(found, secret_scan.BASE, secret_scan.KINDS))
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query
