@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import minhash, mixing, pii, secret_scan, sharding
+from rollbook.llm import minhash, mixing, pii, secret_scan, sharding, vectors
 from rollbook.llm.common import span_list, table
 
 _OUT: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,16 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf, "documents"))
 
 
+@query
+def op7_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op8_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query
 def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf, "documents"))
