@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import minhash, mixing, pii, secret_scan, sharding, vectors
+from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors
 from rollbook.llm.common import span_list, table
 
 _OUT: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,11 @@ def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *_digest(found, secret_scan.BASE, secret_scan.KINDS))
 
 
+@query
+def op3_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.encode(table(spark, sf, "documents")).select("doc_id", "n_pieces", "lossless", "ids")
+
+
 @query
 def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf, "documents"))
@@ -65,6 +70,11 @@ def op8_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf, "embeddings"))
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.assign_shards(table(spark, sf, "documents"))
