@@ -33,7 +33,7 @@ LEXICONS = {
     "worth": "loser losers worthless useless pathetic failure nobody waste garbage trash scum filth vermin parasite",
     "scorn": "disgusting clown pig rat creep freak ugly gross repulsive vile despicable contemptible",
     "abuse": "bastard bitch asshole jerk shit crap damn hell fuck fucking wanker prick slut whore",
-    "threat": "kill die hang shoot burn hurt destroy beat murder strangle",
+    "threat": "kill hang shoot burn hurt destroy beat murder strangle",
     "german": "idiot dumm trottel arschloch abschaum versager ekelhaft wertlos hurensohn schwein depp",
     "french": "idiot imbécile connard salope abruti ordure minable dégoûtant nul crétin merde",
     "spanish": "idiota imbécil estúpido basura escoria perdedor asqueroso inútil payaso mierda patético",
@@ -73,6 +73,11 @@ def pattern_hits(text: str) -> tuple[bool, ...]:
     )
 
 
+def fixed_hits(text: str, words: set[str]) -> tuple[bool, ...]:
+    """The voters that need no mining: lexicons, then patterns."""
+    return (*(not listed.isdisjoint(words) for listed in _LEXICONS.values()), *pattern_hits(text))
+
+
 @dataclass
 class LabelModel:
     """Accuracy of each voter, the voter each one depends on, and the posterior of each vote pattern."""
@@ -108,13 +113,23 @@ def _tree(joint: np.ndarray) -> list[int]:
     return parent
 
 
-def label_model(votes: np.ndarray, counts: np.ndarray, names: Sequence[str], rounds: int = 12) -> LabelModel:
-    """Fit on distinct vote patterns (1 for, -1 against, 0 silent) and their counts."""
+#: How often a given label is taken to be right.
+TRUST = 0.97
+
+
+def label_model(
+    votes: np.ndarray, given: np.ndarray, counts: np.ndarray, names: Sequence[str], rounds: int = 12
+) -> LabelModel:
+    """Fit on distinct vote patterns (1 for, -1 against, 0 silent) with the given label (1 or -1) and their counts.
+
+    The labels start the estimation and count in it with a fixed accuracy, so
+    what is toxic stays what they say; all that is estimated are the voters.
+    """
     n, m = votes.shape
     at = votes + 1
     right = np.array([0.02, 0.5, 0.48]), np.array([0.48, 0.5, 0.02])  # of class 1, of class 0
-    log = np.log(np.stack([right[1], right[0]]))
-    belief = 1 / (1 + np.exp(-np.clip(sum(log[1][at[:, j]] - log[0][at[:, j]] for j in range(m)), -20, 20)))
+    sure = given * math.log(TRUST / (1 - TRUST))
+    belief = 1 / (1 + np.exp(-sure))
     hot = np.zeros((n, m, 3))
     hot[np.arange(n)[:, None], np.arange(m)[None, :], at] = 1.0
     parent = [-1] * m
@@ -123,7 +138,7 @@ def label_model(votes: np.ndarray, counts: np.ndarray, names: Sequence[str], rou
         joint = np.stack([np.einsum("n,nia,njb->iajb", w, hot, hot, optimize=True) for w in weight])
         parent = _tree(joint + 1e-6)
         prior = (weight.sum(axis=1) + 1) / (weight.sum() + 2)
-        odds = np.full(n, math.log(prior[1] / prior[0]))
+        odds = sure + math.log(prior[1] / prior[0])
         for y, sign in ((1, 1), (0, -1)):
             for j in range(m):
                 alone = np.einsum("n,na->a", weight[y], hot[:, j]) + 2 * right[1 - y]
@@ -140,18 +155,18 @@ def label_model(votes: np.ndarray, counts: np.ndarray, names: Sequence[str], rou
     accuracy = {}
     for j, name in enumerate(names):
         voted = votes[:, j] != 0
-        sure = (counts * (votes[:, j] == truth))[voted].sum()
-        accuracy[name] = float((sure + 1) / (counts[voted].sum() + 2))
+        hits = (counts * (votes[:, j] == truth))[voted].sum()
+        accuracy[name] = float((hits + 1) / (counts[voted].sum() + 2))
     return LabelModel(accuracy, {names[j]: names[p] if p >= 0 else None for j, p in enumerate(parent)}, belief)
 
 
 @dataclass
 class Classifier:
-    """Weights of a linear classifier over words, word beginnings and patterns."""
+    """Weights of a linear classifier over words, word beginnings, fixed lexicons and patterns."""
 
     bias: float
     weights: dict[str, float]
-    pattern: tuple[float, ...]
+    fixed: tuple[float, ...]
     labels: LabelModel | None = None
 
     def score(self, text: str) -> float:
@@ -163,7 +178,7 @@ class Classifier:
                 stems = {w[:n] for w in words if len(w) > n}
                 found += [weights[s + "*"] for s in stems & self.stems[n]]
             z += math.fsum(sorted(found))
-            z += math.fsum(w for w, hit in zip(self.pattern, pattern_hits(text), strict=True) if hit)
+            z += math.fsum(w for w, hit in zip(self.fixed, fixed_hits(text, words), strict=True) if hit)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def __post_init__(self) -> None:
@@ -253,19 +268,19 @@ def train(
     sure = {r["feature"] for r in strong if r["bad"] >= 20 * r["good"]}
     fixed = sorted(set().union(*_LEXICONS.values()) - vocabulary.keys())
     vocabulary |= {w: len(strong) + i for i, w in enumerate(fixed)}
-    names = [*_LEXICONS, *PATTERNS, "word", *(f"stem{n}" for n in STEMS), "clean", "label"]
+    names = [*_LEXICONS, *PATTERNS, "word", *(f"stem{n}" for n in STEMS), "clean"]
 
     def voted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for key, text, toxic in zip(batch["key"], batch["text"], batch["toxic"], strict=True):
                 own = features(text)
-                hits = pattern_hits(text)
+                hits = fixed_hits(text, own)
                 good = own & sure
                 by_stem = [any(f.endswith("*") and len(f) == n + 1 for f in good) for n in STEMS]
-                marks = [*(not words.isdisjoint(own) for words in _LEXICONS.values()), *hits]
+                marks = list(hits)
                 marks += [any(not f.endswith("*") for f in good), *by_stem]
-                votes = [int(x) for x in marks] + [0 if any(marks) else -1, 1 if toxic else -1]
+                votes = [int(x) for x in marks] + [0 if any(marks) else -1, 1 if toxic else -1]  # the label comes last
                 out.append((key, votes, sorted(vocabulary[f] for f in own if f in vocabulary), [int(h) for h in hits]))
             yield pd.DataFrame(out, columns=["key", "votes", "found", "hits"])
 
@@ -274,10 +289,10 @@ def train(
     )
     sample.unpersist()
     if not rows or not n_bad or not n_good:
-        return Classifier(-4.0, dict.fromkeys(sorted(_INSULTS), 6.0), (2.0, 1.0, 0.5, 0.0, 1.0))
+        return Classifier(-4.0, dict.fromkeys(sorted(_INSULTS), 6.0), (0.0,) * len(_LEXICONS) + (2.0, 1.0, 0.5, 0.0, 1.0))
     votes = np.array([r["votes"] for r in rows])
     patterns, of, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    model = label_model(patterns, counts.astype(np.float64), names)
+    model = label_model(patterns[:, :-1], patterns[:, -1], counts.astype(np.float64), names)
     target = model.posterior[of.ravel()]
     bias, w, d = _fit([np.array(r["found"], np.int64) for r in rows], np.array([r["hits"] for r in rows], float), target, len(vocabulary))
     weights = {f: round(float(w[i]), 6) for f, i in vocabulary.items() if abs(w[i]) > 1e-3}
