@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors
+from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors, web_pages
 from rollbook.llm.common import span_list, table
 
 _OUT: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query
+def op5_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return web_pages.extract(table(spark, sf, "pages"))
+
+
 @query
 def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf, "documents"))
