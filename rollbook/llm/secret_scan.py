@@ -134,7 +134,7 @@ def train(found: DataFrame) -> list[float]:
     # what the corpus holds counts at most as much as the made strings, else one frequent form would decide
     scale = min(1.0, sum(made.values()) / max(1, sum(random.values())))
     random = {k: made.get(k, 0) + scale * random.get(k, 0) for k in made.keys() | random.keys()}
-    share = max(1, sum(ordinary.values()) // 200_000)
+    share = max(1, sum(ordinary.values()) // 50_000)
     for word in ORDINARY:
         for pair in zip(word, word[1:], strict=False):
             ordinary["".join(pair)] = ordinary.get("".join(pair), 0) + _ORDINARY_WEIGHT * share
@@ -153,7 +153,7 @@ def likelihood_ratio(surface: Column, ratios: list[float]) -> Column:
     return total / (F.length(surface) - 1)
 
 
-def spans(found: DataFrame, ratios: list[float], least: float = 1.0) -> Column:
+def spans(found: DataFrame, ratios: list[float], least: float = 0.5) -> Column:
     """Array of (kind, start, end): base spans, and tokens whose mean ratio is at least ``least``."""
     plain = lambda s, kind: F.struct(kind.alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     return F.concat(
@@ -164,7 +164,7 @@ def spans(found: DataFrame, ratios: list[float], least: float = 1.0) -> Column:
     )
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 1.0) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
     """One row per document: id and ``spans``, an array of (kind, start, end) in code points, end exclusive.
 
     NULL and empty texts have no spans; a NULL id or a repeated row gives its
