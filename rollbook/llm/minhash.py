@@ -6,11 +6,14 @@ the other and dropped as soon as the posterior probability of the wanted
 similarity falls below the chosen chance of a miss; what survives is verified
 on the full sets.
 
-Equal sets are one node from the start.  A first round compares each node with
-one hub of its buckets and joins what is linked; in a second round only pairs
-of nodes that are still in different components are compared, in blocks of
-bounded size within each bucket, so a large group of copies never gives all its
-pairs, and no pair that could join two components is left out.
+Equal sets are one node from the start.  Some rounds compare each node with the
+hub it shares most buckets with, another hub each time, and join what is
+linked; that is linear in the nodes and joins most of a large group of copies.
+Then all pairs of a bucket that are still in different components are compared
+in blocks of bounded size, first by signature, to find the nodes that need
+their full sets, then by set.  A block gives the links that join components and
+no other pairs, so a large group never gives all its pairs, and no pair that
+could join two components is left out.
 """
 
 from __future__ import annotations
@@ -181,31 +184,74 @@ def _pruned(limits: list[int]) -> object:
     return run
 
 
-def _compared(limits: list[int], similarity: float) -> object:
-    """All pairs of one block pair that lie in different components, to those that may be similar enough."""
+def _survivors(group: pd.DataFrame, limits: list[int], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one block pair in different components that may be similar enough, the likeliest first.
+
+    Only pairs that meet here for the first time, in the lowest band they share.
+    """
+    own, x, y, band = group["_own"].to_numpy(), group["_x"].iloc[0], group["_y"].iloc[0], int(group["band"].iloc[0])
+    sig, root, n = _stack(group["sig"]), group["root"].to_numpy(), group["n"].to_numpy()
+    if x == y:
+        i, j = np.triu_indices(len(group), 1)
+    else:
+        i, j = (v.ravel() for v in np.meshgrid(np.flatnonzero(own == x), np.flatnonzero(own == y), indexing="ij"))
+    near = (root[i] != root[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]))
+    i, j = i[near], j[near]
+    count = np.zeros(len(i), np.int32)
+    for k, least in enumerate(limits):
+        at = slice(k * BATCH, (k + 1) * BATCH)
+        count += (sig[i, at] == sig[j, at]).sum(axis=1, dtype=np.int32)
+        alive = count >= least
+        i, j, count = i[alive], j[alive], count[alive]
+    if band and len(i):
+        keys = np.stack(group["sig"].to_list())[:, :band]
+        fresh = ~(keys[i] == keys[j]).any(axis=1)
+        i, j, count = i[fresh], j[fresh], count[fresh]
+    order = np.argsort(-count, kind="stable")
+    return i[order], j[order]
+
+
+def _active(limits: list[int], similarity: float) -> object:
+    """Nodes of one block pair that have a surviving pair there."""
 
     def work(group: pd.DataFrame) -> pd.DataFrame | None:
-        own, x, y = group["_own"].to_numpy(), group["_x"].iloc[0], group["_y"].iloc[0]
-        sig, root, node, n = _stack(group["sig"]), group["root"].to_numpy(), group["node"].to_numpy(), group["n"].to_numpy()
-        if x == y:
-            i, j = np.triu_indices(len(group), 1)
-        else:
-            i, j = (v.ravel() for v in np.meshgrid(np.flatnonzero(own == x), np.flatnonzero(own == y), indexing="ij"))
-        near = (root[i] != root[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]))
-        i, j = i[near], j[near]
-        count = np.zeros(len(i), np.int32)
-        for k, least in enumerate(limits):
-            at = slice(k * BATCH, (k + 1) * BATCH)
-            count += (sig[i, at] == sig[j, at]).sum(axis=1, dtype=np.int32)
-            alive = count >= least
-            i, j, count = i[alive], j[alive], count[alive]
-            if not len(i):
-                return None
-        return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j]), "matches": count})
+        i, j = _survivors(group, limits, similarity)
+        some = np.unique(np.concatenate([i, j]))
+        return group.iloc[some][["band", "key", "node", "root"]] if len(some) else None
+
+    return work
+
+
+def _joined(limits: list[int], percent: int) -> object:
+    """Links of one block pair that join components, checked on the full sets."""
+
+    def work(group: pd.DataFrame) -> pd.DataFrame | None:
+        i, j = _survivors(group, limits, percent / 100)
+        node, sets = group["node"].to_numpy(), [np.frombuffer(s, np.uint64) for s in group["set"]]
+        root = group["root"].tolist()
+        above = dict(zip(root, root, strict=True))
+
+        def top(r: int) -> int:
+            while above[r] != r:
+                above[r] = r = above[above[r]]
+            return r
+
+        out = []
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            one, two = top(root[a]), top(root[b])
+            if one != two and _linked(sets[a], sets[b], percent):
+                above[one] = two
+                out.append((node[a], node[b]))
+        return pd.DataFrame(out, columns=["a", "b"]) if out else None
 
     return work
 
 
+def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
 def _verified(percent: int) -> object:
     """Pairs with both full sets to those with 100 * intersection >= percent * union."""
 
@@ -213,14 +259,20 @@ def _verified(percent: int) -> object:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                one, two = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
+                keep.append(_linked(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+def _mixed(rooted: DataFrame, *about: object) -> DataFrame:
+    """Members (band, key, node, root) of the buckets that hold several components, with aggregates of their bucket."""
+    rooted = stage(rooted)
+    low, high = F.min("root").alias("_low"), F.max("root").alias("_high")
+    buckets = stage(rooted.groupBy("band", "key").agg(low, high, *about).filter("_low != _high").drop("_low", "_high"))
+    return stage(rooted.join(buckets, ["band", "key"]))
+
+
 class _Links:
     """Links found so far, and the component of each node that has one."""
 
@@ -234,18 +286,19 @@ class _Links:
         one = self.sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
         two = self.sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
         joined = pairs.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "set_a", "set_b")
-        found = stage(joined.mapInArrow(_verified(self.percent), "a long, b long"))
+        self.add(joined.mapInArrow(_verified(self.percent), "a long, b long"))
+
+    def add(self, found: DataFrame) -> None:
+        """Links (a, b) that have been checked."""
+        found = stage(found)
         self.links = found if self.links is None else self.links.unionAll(found)
         # stars stand for what was linked before
         stars = self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         self.roots = stage(connected(stars.unionAll(found)))
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are in different components, with these as ``ra`` and ``rb``."""
-        for end in "ab":
-            root = self.roots.select(F.col("node").alias(end), F.col("root").alias("r"))
-            pairs = pairs.join(root, end, "left").withColumn(f"r{end}", F.coalesce("r", end)).drop("r")
-        return pairs.filter("ra != rb")
+    def rooted(self, rows: DataFrame) -> DataFrame:
+        """Rows with a node, and the component it is in so far."""
+        return rows.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def near_duplicates(
@@ -253,7 +306,8 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     percent: int = 75,
-    miss: float = 1e-5,
+    miss: float = 1e-4,
+    rounds: int = 2,
     block: int = 256,
     carry: bool = False,
 ) -> DataFrame:
@@ -289,10 +343,8 @@ def near_duplicates(
     signatures = members.filter("row = node").select("node", "n", "sig")
 
     banded = signatures.select("node", F.posexplode("sig").alias("band", "key"))
-    buckets = stage(
-        banded.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    )
-    held = stage(banded.join(buckets, ["band", "key"]))
+    buckets = stage(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    held = stage(banded.join(buckets.drop("size"), ["band", "key"]))
     limits = _limits(percent / 100, miss)
 
     # full sets of all nodes that share a bucket with another
@@ -300,42 +352,33 @@ def near_duplicates(
     texts = rows.select(F.col("row").alias("node"), text)
     links = _Links(stage(texts.join(wanted, "node", "left_semi").mapInArrow(_sets, "node long, set binary")), percent)
 
-    # first round: each node with one hub
-    pairs = held.filter("node != hub").groupBy("node").agg(F.min("hub").alias("a")).withColumnRenamed("node", "b")
+    # each node with the hub it shares most buckets with, another hub in each round
     one = signatures.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("n").alias("n_a"))
     two = signatures.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("n").alias("n_b"))
-    likely = stage(pairs).join(two, "b").join(one, "a").filter(
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    )
-    links.verify(stage(likely.select("a", "b", "sig_a", "sig_b").mapInPandas(_pruned(limits), "a long, b long")))
-
-    # second round: buckets that still hold several components, in blocks
-    rooted = stage(held.join(links.roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root")))
-    mixed = stage(
-        rooted.groupBy("band", "key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-        .filter("low != high")
-        .drop("low", "high")
-    )
-    again = stage(rooted.join(mixed, ["band", "key"])).join(signatures, "node")
-    blocks = dealt(again, ["band", "key"], "node", "size", block)
-    compared = map_groups(
-        blocks, ["band", "key", "_x", "_y"], _compared(limits, percent / 100), "a long, b long, matches int"
-    )
-    likely = stage(compared.distinct())
-    # the likeliest pair of each two components first, as it may spare the others
-    for best_only in (True, True, False):
-        likely = links.apart(likely)
-        if best_only:
-            best = F.max(F.struct("matches", "a", "b")).alias("best")
-            likely = stage(likely)
-            pick = stage(likely.groupBy(F.least("ra", "rb"), F.greatest("ra", "rb")).agg(best).select("best.a", "best.b"))
-            likely = stage(likely.drop("ra", "rb").join(pick, ["a", "b"], "left_anti"))
-        else:
-            pick = stage(likely.select("a", "b"))
-        if pick.isEmpty():
+    for turn in range(rounds):
+        mixed = _mixed(links.rooted(held), F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(turn), "node")).alias("hub"))
+        spokes = mixed.filter("root != hub.root").groupBy("node", F.col("hub.node").alias("a")).agg(F.count(F.lit(1)).alias("n"))
+        pairs = stage(spokes.groupBy(F.col("node").alias("b")).agg(F.max_by("a", F.struct("n", "a")).alias("a")))
+        if pairs.isEmpty():
             break
-        links.verify(pick)
+        near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+        likely = pairs.join(two, "b").join(one, "a").filter(near).select("a", "b", "sig_a", "sig_b")
+        links.verify(stage(likely.mapInPandas(_pruned(limits), "a long, b long")))
+
+    # buckets that still hold several components, in blocks: by signature, then by set
+    size = F.count(F.lit(1)).alias("size")
+    keys = ["band", "key", "_x", "_y"]
+    mixed = _mixed(links.rooted(held), size).join(signatures, "node")
+    active = map_groups(
+        dealt(mixed, ["band", "key"], "node", "size", block),
+        keys,
+        _active(limits, percent / 100),
+        "band int, key long, node long, root long",
+    )
+    active = stage(active.distinct())
+    sizes = stage(active.groupBy("band", "key").agg(size))
+    whole = active.join(sizes, ["band", "key"]).join(signatures.join(links.sets, "node"), "node")
+    links.add(map_groups(dealt(whole, ["band", "key"], "node", "size", block), keys, _joined(limits, percent), "a long, b long"))
 
     # back to rows
     own = members.join(links.roots, "node", "left").select("row", "id", "n", F.coalesce("root", "node").alias("root"))
