@@ -101,7 +101,7 @@ def popularity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def activity_detail(spark: SparkSession, sf: str) -> DataFrame:
+def activity_log(spark: SparkSession, sf: str) -> DataFrame:
     return A.activity_log(*views(spark, sf, "students", "courses", "enrollments", "grades", "attendance"))
 
 
@@ -350,7 +350,8 @@ def record_grades(spark: SparkSession, sf: str) -> DataFrame:
         {
             "text": F.expr(
                 "case when l_partkey % 97 = 0 then '100.004' when l_partkey % 101 = 0 then 'n/a' "
-                "else cast(score as string) end"
+                "when l_partkey % 103 = 0 then '88d' when l_partkey % 107 = 0 then '0x1p3' "
+                "when l_partkey % 109 = 0 then null else cast(score as string) end"
             ),
             "part": F.expr(
                 "case when l_partkey % 83 = 0 then null when l_partkey % 89 = 0 then '12.5' "
@@ -428,13 +429,34 @@ def people_csv_load(spark: SparkSession, sf: str) -> DataFrame:
     """The people feed written as CSV, read back and loaded."""
     path = _scratch(spark, "people")
     feed, target = views(spark, sf, "people_feed", "held_students")
-    feeds.write_csv_feed(feed.drop("seq"), path)
+    # another column order, a column nobody asked for, line breaks inside quotes
+    broken = F.expr("case when seq % 19 = 0 then concat(major, '\n', major) else major end")
+    told = feed.withColumn("major", broken).select("major", "dob", F.lit("x").alias("note"), "email", "last_name", "first_name")
+    feeds.write_csv_feed(told, path)
     tables = {"students": conform(target, schemas.STUDENTS)}
-    done, _ = L.load_people(tables, stage(feeds.read_people(spark, path)), strict=False)
+    done, _ = L.load_people(tables, stage(feeds.read_people(spark, path, multi_line=True)), strict=False)
     loaded = done.added["students"].select("first_name", "last_name", "email", "date_of_birth", "major")
     return loaded.unionByName(done.rejected.select("email", _why()), allowMissingColumns=True)
 
 
+@query
+def catalog_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Two offers of every course; credits are words, fractions, nothing or none at times."""
+    offers, target = views(spark, sf, "course_offers", "held_courses")
+    again = offers.withColumn("seq", F.expr("seq + 100000000"))
+    text = F.expr(
+        "case when seq % 7 = 0 then 'three' when seq % 11 = 0 then '3.7' when seq % 13 = 0 then '0' "
+        "when seq % 17 = 0 then null else cast(credits as string) end"
+    )
+    code = F.expr("case when seq % 23 = 0 then null else course_code end")
+    feed = offers.unionByName(again).select(
+        "course_name", code.alias("course_code"), text.alias("credits"), F.col("seq").alias("feed_order")
+    )
+    done, _ = L.load_catalog({"courses": conform(target, schemas.COURSES)}, stage(feed), strict=False)
+    loaded = done.added["courses"].select("course_code", "course_name", "credits")
+    return loaded.unionByName(done.rejected.select(F.col("feed_order").alias("seq"), _why()), allowMissingColumns=True)
+
+
 @query
 def grade_json_load(spark: SparkSession, sf: str) -> DataFrame:
     """The grade feed written as JSON, read back and loaded."""
@@ -486,6 +508,29 @@ def command_stream(spark: SparkSession, sf: str) -> DataFrame:
     return store.read()["attendance"].select("enrollment_id", "attendance_date", "status")
 
 
+@query
+def grade_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Grade commands in many small files, a few to a batch; the commands of a grade are in one file."""
+    root = _scratch(spark, "stream")
+    lines = view(spark, sf, "lines").withColumn("seq", F.expr("l_orderkey * 100000000 + l_partkey * 10 + l_linenumber"))
+    calls = _calls_on_orders(spark, sf, lines, "l_orderkey", "seq", "assessment_type", "score", "weight")
+    calls = calls.select(
+        "seq",
+        "email",
+        "course_code",
+        F.col("assessment_type").alias("assessment"),
+        F.col("score").cast("string").alias("score"),
+        F.col("weight").cast("string").alias("weight"),
+    )
+    calls.repartition(6, "email", "course_code", "assessment").write.json(f"{root}/in")
+    store = TableStore(spark, f"{root}/store")
+    names = ["students", "courses", "enrollments"]
+    store.publish(replace=dict(zip(names, views(spark, sf, *names), strict=True)))
+    stream = start_command_stream(spark, f"{root}/in", store, "record_grades", f"{root}/checkpoint", AS_OF, max_files=3)
+    stream.awaitTermination()
+    return store.read()["grades"].select("enrollment_id", "assessment_type", "score", "weight")
+
+
 # -- quality ----------------------------------------------------------------
 
 

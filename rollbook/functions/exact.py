@@ -19,9 +19,9 @@ SUM, COUNT = "_sum_units", "_n"
 
 
 def units(col: Column | str, scale: int = 2) -> Column:
-    """A decimal with ``scale`` fraction digits as a whole number of units."""
+    """A number as a whole number of units, rounded to ``scale`` fraction digits first."""
     col = F.col(col) if isinstance(col, str) else col
-    return (col * F.lit(10**scale)).cast("bigint")
+    return (col.cast(f"decimal(18,{scale})") * F.lit(10**scale)).cast("bigint")
 
 
 def from_units(col: Column, precision: int = 5, scale: int = 2) -> Column:

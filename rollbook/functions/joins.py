@@ -1,4 +1,4 @@
-"""Join helpers: complete keys, checked broadcasts, NULL-safe lookups.
+"""Join helpers: complete keys, NULL-safe lookups.
 
 How skew is kept in check throughout the library:
 
@@ -7,7 +7,8 @@ How skew is kept in check throughout the library:
 * a join whose big side stays unaggregated has a scan or a written table on the
   other side and nothing keyed after it, the shape in which adaptive execution
   splits an oversized partition;
-* a broadcast is asked for only after counting, with a shuffle plan beyond.
+* nothing is forced to be broadcast by its row count: small sides that are used
+  more than once are written, so the planner knows their bytes and chooses.
 """
 
 from __future__ import annotations
@@ -17,10 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a broadcast key set may have: a few narrow columns each, tens of MB.
-BROADCAST_ROWS = 500_000
-
-
 def all_set(cols: Sequence[str]) -> Column:
     """True where no listed column is NULL."""
     test = F.lit(True)
@@ -34,11 +31,6 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(all_set(keys)).select(*keys).distinct()
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows.  Counting stops above."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def null_safe_left(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join on keys where NULL equals NULL; ``lookup`` is unique on them."""
     same = F.lit(True)

@@ -25,7 +25,7 @@ def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get(_KEY, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError(f"set {_KEY} to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="rollbook-")
     spark.sparkContext.setCheckpointDir(root)

@@ -57,11 +57,13 @@ def insert_absent(
     """(rows to insert, rows skipped) under UNIQUE(keys) with the first row winning.
 
     NULL keys never conflict, neither inside the batch nor with the target.
-    ``order`` must tell any two rows of one key apart.
+    ``order`` must tell any two rows of one key apart.  The batch and the keys
+    that the target holds of it are written once and serve both results.
     """
     keys = list(keys)
+    batch = stage(batch)
     firsts = first_wins(batch, keys, order)
-    inserted = firsts.join(present_keys(target, batch, keys), keys, "left_anti").select(*batch.columns)
+    inserted = firsts.join(stage(present_keys(target, batch, keys)), keys, "left_anti").select(*batch.columns)
     identity = [*keys, *[c for c in order if c not in keys]]
     same = F.lit(True)
     for c in identity:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.functions.joins import all_set, distinct_keys, fits_broadcast
+from rollbook.functions.joins import all_set, distinct_keys
 from rollbook.functions.staging import stage
 
 
@@ -26,31 +26,18 @@ def find(table: DataFrame, key: str, id_col: str, wanted: DataFrame) -> DataFram
     return table.select(key, id_col).join(distinct_keys(wanted, [key]), key)
 
 
-def held_keys(table: DataFrame, wanted: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Distinct complete keys of ``table``; only the wanted ones if those are few.
-
-    ``small`` says that ``wanted`` was counted and may be broadcast: then the
-    table is only scanned.  Otherwise its keys are folded and shuffled.
-    """
-    if small:
-        table = table.select(*keys).join(F.broadcast(distinct_keys(wanted, keys)), list(keys), "left_semi")
-    return distinct_keys(table, keys)
-
-
-def _look_up(rows: DataFrame, table: DataFrame, key: str, id_col: str, small: bool) -> DataFrame:
-    table = table.select(key, id_col)
-    if small:
-        table = F.broadcast(table.join(F.broadcast(distinct_keys(rows, [key])), key, "left_semi"))
-    return rows.join(table, key, "left")
+def held_keys(table: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The wanted keys that ``table`` holds, each once."""
+    return distinct_keys(table.select(*keys).join(distinct_keys(wanted, keys), list(keys), "left_semi"), keys)
 
 
-def first_enrollments(enrollments: DataFrame, pairs: DataFrame, small: bool) -> DataFrame:
-    """Lowest enrollment_id per (student_id, course_id); of the wanted pairs if those are few."""
+def first_enrollments(enrollments: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Lowest enrollment_id of each wanted (student_id, course_id)."""
     on = ["student_id", "course_id"]
     rows = enrollments.where(all_set(on)).select("enrollment_id", *on)
-    if small:
-        rows = rows.join(F.broadcast(distinct_keys(pairs, on)), on, "left_semi")
-    return rows.groupBy(*on).agg(F.min("enrollment_id").alias("enrollment_id"))
+    return rows.join(distinct_keys(pairs, on), on, "left_semi").groupBy(*on).agg(
+        F.min("enrollment_id").alias("enrollment_id")
+    )
 
 
 def link_pairs(
@@ -66,13 +53,12 @@ def link_pairs(
     Columns: both keys, student_id, course_id and, with ``enrollments``, the
     lowest enrollment_id of the two.  A miss leaves NULL; a NULL key is a miss.
     The result is written, so that all consumers share one lookup and join it
-    as a scan.
+    as a scan; keys and ids are written first, so their size decides how the
+    tables are joined.
     """
     pairs = stage(commands.select(student_key, course_key).distinct())
-    small = fits_broadcast(pairs)
-    links = _look_up(pairs, courses, course_key, "course_id", small)
-    links = _look_up(links, students, student_key, "student_id", small)
-    if enrollments is not None:
-        ids = first_enrollments(enrollments, links, small)
-        links = links.join(F.broadcast(ids) if small else ids, ["student_id", "course_id"], "left")
-    return stage(links)
+    links = pairs.join(find(courses, course_key, "course_id", pairs), course_key, "left")
+    links = stage(links.join(find(students, student_key, "student_id", pairs), student_key, "left"))
+    if enrollments is None:
+        return links
+    return stage(links.join(first_enrollments(enrollments, links), ["student_id", "course_id"], "left"))

@@ -29,9 +29,25 @@ def required(col: str) -> Rule:
     return Rule(f"{col}_missing", F.col(col).isNotNull())
 
 
+_NUMBER = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
+_WHOLE = r"^\s*[+-]?[0-9]+(\.0*)?\s*$"
+
+
 def number(col: str, dtype: str = "decimal(5,2)") -> Rule:
-    """The text is a number the type can hold."""
-    return Rule(f"{col}_bad_number", F.col(col).isNull() | F.col(col).try_cast(dtype).isNotNull())
+    """The text is a number in plain or scientific form, or a named one, that the type can hold.
+
+    Casting alone would also take type letters and hexadecimal forms.
+    """
+    value = F.col(col)
+    good = value.cast("string").rlike(_NUMBER) & value.try_cast(dtype).isNotNull()
+    return Rule(f"{col}_bad_number", value.isNull() | good)
+
+
+def whole_number(col: str, dtype: str = "decimal(10,0)") -> Rule:
+    """The text is a number without a fraction."""
+    value = F.col(col)
+    good = value.cast("string").rlike(_WHOLE) & value.try_cast(dtype).isNotNull()
+    return Rule(f"{col}_bad_number", value.isNull() | good)
 
 
 def in_range(col: str, low: float = 0, high: float = 100, on: str = "stored", dtype: str = "decimal(5,2)") -> Rule:
@@ -55,8 +71,8 @@ def one_of(col: str, values: Sequence[str] = schemas.STATUSES) -> Rule:
     return Rule(f"{col}_not_allowed", F.col(col).isin(*values))
 
 
-def positive(col: str) -> Rule:
-    return Rule(f"{col}_not_positive", F.col(col) > 0)
+def positive(col: str, dtype: str = "decimal(10,0)") -> Rule:
+    return Rule(f"{col}_not_positive", F.col(col).try_cast(dtype) > 0)
 
 
 def max_length(col: str, limit: int) -> Rule:
@@ -94,8 +110,7 @@ def broken(rules: Sequence[Rule]) -> Column:
     """Array of the reason codes of all broken rules, in the order given."""
     if not rules:
         return F.array().cast("array<string>")
-    text = F.concat_ws(",", *[F.when(~r.holds, F.lit(r.reason)) for r in rules])
-    return F.when(text != "", F.split(text, ",")).otherwise(F.array().cast("array<string>"))
+    return F.array_compact(F.array(*[F.when(~r.holds, F.lit(r.reason)) for r in rules]))
 
 
 def first_failing(*stages: Column) -> Column:

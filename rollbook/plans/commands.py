@@ -15,14 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook import schemas
-from rollbook.functions.joins import all_set, fits_broadcast, null_safe_left
+from rollbook.functions.joins import all_set, null_safe_left
 from rollbook.functions.staging import stage
 from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, fit_lengths, with_defaults
 from rollbook.operators.integrity import cascade_delete
-from rollbook.operators.keys import assign_ids, insert_absent, last_wins, next_id
+from rollbook.operators.keys import assign_ids, first_wins, insert_absent, last_wins, next_id
 from rollbook.operators.lookup import find, held_keys, link_pairs, without_match
-from rollbook.sources.feeds import ABSENT
+from rollbook.sources.feeds import ABSENT, ORDER
 
 Tables = Mapping[str, DataFrame]
 # First free id per table.  Without it the highest id in use is looked up.
@@ -80,10 +80,14 @@ def _reason(test: Column, reason: str) -> R.Rule:
 def _judge(
     rows: DataFrame, columns: Sequence[str], *stages: Sequence[R.Rule]
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) under stages of rules, the first broken stage giving the reasons."""
-    ok = R.passes([rule for rules in stages for rule in rules])
+    """(valid, rejected) under stages of rules, the first broken stage giving the reasons.
+
+    The rows are judged and written once; both parts read them back.
+    """
     why = R.first_failing(*[R.broken(rules) for rules in stages])
-    return rows.where(ok), rows.where(~ok).select(*columns, why.alias(R.REASONS))
+    judged = stage(rows.withColumn(R.REASONS, why))
+    good = F.size(R.REASONS) == 0
+    return judged.where(good).drop(R.REASONS), judged.where(~good).select(*columns, R.REASONS)
 
 
 # -- students ---------------------------------------------------------------
@@ -175,9 +179,14 @@ def grade_changes(
     valid, rejected = _judge(
         _linked(tables, commands),
         commands.columns,
-        [R.number("score", "double"), R.in_range("score", on="raw"), R.number("weight", "double")],
+        [R.required("score"), R.number("score", "double"), R.in_range("score", on="raw"), R.number("weight", "double")],
         _enrolled(),
-        [R.required("assessment"), R.max_length("assessment", 50), R.number("weight", "decimal(3,2)")],
+        [
+            R.required("assessment"),
+            R.max_length("assessment", 50),
+            R.number("score"),
+            R.number("weight", "decimal(3,2)"),
+        ],
     )
     typed = fit_lengths(
         valid.select(
@@ -198,10 +207,9 @@ def apply_changes(grades: DataFrame, changes: DataFrame, next_ids: NextIds = Non
     All rows of a key take the change, a NULL weight included.  ``grades`` may
     be any part of the table that holds all rows of the changed keys.
     """
-    small = fits_broadcast(changes)
     old = conform(grades, schemas.GRADES)
     news = changes.withColumn("_hit", F.lit(True))
-    update = old.join(F.broadcast(news) if small else news, _GRADE_KEY, "left")
+    update = old.join(news, _GRADE_KEY, "left")
     hit = F.col("_hit").isNotNull()
     updated = update.withColumns(
         {
@@ -209,7 +217,7 @@ def apply_changes(grades: DataFrame, changes: DataFrame, next_ids: NextIds = Non
             "weight": F.when(hit, F.col("new_weight")).otherwise(F.col("weight")),
         }
     ).select(*old.columns)
-    fresh = changes.join(held_keys(old, changes, _GRADE_KEY, small), _GRADE_KEY, "left_anti").select(
+    fresh = changes.join(held_keys(old, changes, _GRADE_KEY), _GRADE_KEY, "left_anti").select(
         *_GRADE_KEY, F.col("new_score").alias("score"), F.col("new_weight").alias("weight")
     )
     return updated, _with_ids({"grades": old}, "grades", fresh, None, next_ids)
@@ -305,24 +313,25 @@ def load_grades(
         R.in_range("score"),
         R.number("weight", "decimal(3,2)"),
     ]
+    valid, rejected = _judge(linked, feed.columns, named, *found, stored)
     if strict:
-        _, bad = R.apply_rules(feed, [*named, *stored])
-        ok = R.passes(named)
-        _, refused = _judge(null_safe_left(bad, links, pair).where(~ok | known), [], named, stored)
+        skipped = F.array(F.lit("student_not_found"), F.lit("course_not_found"))
+        refused = rejected.where(~F.arrays_overlap(F.col(R.REASONS), skipped))
         first = refused.select(F.array_join(R.REASONS, ",").alias("why")).first()
         if first is not None:
             raise ValueError(f"grade feed refused: {first['why']}")
-
-    valid, rejected = _judge(linked, feed.columns, named, *found, stored)
+    place = [ORDER] if ORDER in feed.columns else []
     rows = fit_lengths(
         coerce(valid.withColumnRenamed("assessment", "assessment_type"), schemas.GRADES).select(
-            "enrollment_id", "assessment_type", "score", "weight"
+            "enrollment_id", "assessment_type", "score", "weight", *place
         ),
         schemas.MAX_LENGTH["grades"],
     )
     if dedupe_on:
         key = list(dedupe_on)
-        rows = rows.dropDuplicates(key).join(held_keys(tables["grades"], rows, key, False), key, "left_anti")
+        rows = stage(first_wins(rows, key, place))
+        rows = rows.join(held_keys(tables["grades"], rows, key), key, "left_anti")
+    rows = rows.drop(*place)
     added = _with_ids(tables, "grades", rows, None, next_ids)
     return Outcome(
         {

@@ -13,9 +13,8 @@ from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, drop_missing, fit_lengths, rename
 from rollbook.operators.keys import assign_ids, insert_absent, load_counters, next_id
 from rollbook.plans.commands import NextIds, Outcome, Tables, load_grades
-from rollbook.sources.feeds import ORDER, read_grades, read_people
+from rollbook.sources.feeds import ORDER, SURPLUS, read_grades, read_people
 from rollbook.sources.store import TableStore
-from rollbook.sources.workbook import read_catalog
 
 _PEOPLE = {
     "first_name": "first_name",
@@ -23,18 +22,32 @@ _PEOPLE = {
     "email": "email",
     "dob": "date_of_birth",
     "major": "major",
+    SURPLUS: SURPLUS,
     ORDER: ORDER,
 }
 
 
 @dataclass(frozen=True)
 class Sources:
-    """Where a run finds its feeds; None leaves a feed out."""
+    """Where a run finds its feeds; None leaves a feed out.
+
+    The catalog is a frame (course_name, course_code, credits and ``feed_order``),
+    as catalogs come in many forms.
+    """
 
     people: str | list[str] | None = None
-    catalog: str | list[str] | None = None
+    catalog: DataFrame | None = None
     grades: str | list[str] | None = None
     grades_json_lines: bool = False
+    people_multi_line: bool = False
+
+
+@dataclass(frozen=True)
+class LoadReport:
+    """What a run did: refused rows and rows (metric, rows) by feed."""
+
+    rejected: dict[str, DataFrame]
+    counters: dict[str, dict[str, int]]
 
 
 def _refuse(rejected: DataFrame, what: str) -> None:
@@ -73,10 +86,12 @@ def load_people(
     """
     people = clean_people(feed)
     checks = [*R.table_rules("students", people.columns), R.real_date("date_of_birth")]
+    if SURPLUS in people.columns:
+        checks.append(R.Rule("surplus_fields", F.col(SURPLUS).isNull()))
     valid, rejected = R.apply_rules(people, checks)
     if strict:
         _refuse(rejected, "people")
-    batch = fit_lengths(coerce(valid, schemas.STUDENTS), schemas.MAX_LENGTH["students"])
+    batch = fit_lengths(coerce(valid.drop(SURPLUS), schemas.STUDENTS), schemas.MAX_LENGTH["students"])
     grown, added = _insert(tables, "students", batch, list(order), next_ids)
     return Outcome(grown, {"students": added}, rejected), load_counters(feed, people, batch, added)
 
@@ -88,11 +103,17 @@ def load_catalog(
     strict: bool = True,
     next_ids: NextIds = None,
 ) -> tuple[Outcome, DataFrame]:
-    """Insert courses whose code is new."""
-    valid, rejected = R.apply_rules(feed, R.table_rules("courses", feed.columns))
+    """Insert courses whose code is new.
+
+    Credits are judged as text, so a word or a fraction is refused and not lost
+    by the cast.
+    """
+    checks = [*R.table_rules("courses", feed.columns), R.whole_number("credits")]
+    valid, rejected = R.apply_rules(feed, checks)
     if strict:
         _refuse(rejected, "catalog")
-    batch = fit_lengths(valid, schemas.MAX_LENGTH["courses"])
+    whole = F.col("credits").try_cast("decimal(10,0)").try_cast("int")
+    batch = fit_lengths(valid.withColumn("credits", whole), schemas.MAX_LENGTH["courses"])
     grown, added = _insert(tables, "courses", batch, list(order), next_ids)
     return Outcome(grown, {"courses": added}, rejected), load_counters(feed, feed, batch, added)
 
@@ -121,43 +142,51 @@ def run_loads(
     as_of: Column | str | None = None,
     strict: bool = True,
     batch: str = "",
-) -> dict[str, DataFrame]:
+) -> LoadReport:
     """People, then catalog, then grades, published as one new state.
 
     Any error before the publish leaves the stored state as it was.  Rejected
-    rows are set aside in the store and returned per feed.  Each feed is parsed
-    once and written in columns; several passes follow.
+    rows are set aside in the store and returned per feed together with the
+    load counters.  Each feed is parsed once and written in columns; several
+    passes follow.  A named batch that has been published is not loaded again.
     """
+    if batch and store.has_batch(batch):
+        return LoadReport({}, {})
     batch = batch or f"load-{store.version() + 1}"
     ids = store.next_ids()
 
-    def people(tables: Tables) -> Outcome:
-        return load_people(tables, stage(read_people(spark, sources.people)), strict=strict, next_ids=ids)[0]
+    def people(tables: Tables) -> tuple[Outcome, DataFrame]:
+        feed = stage(read_people(spark, sources.people, multi_line=sources.people_multi_line))
+        return load_people(tables, feed, strict=strict, next_ids=ids)
 
-    def catalog(tables: Tables) -> Outcome:
-        return load_catalog(tables, stage(read_catalog(spark, sources.catalog)), strict=strict, next_ids=ids)[0]
+    def catalog(tables: Tables) -> tuple[Outcome, DataFrame]:
+        return load_catalog(tables, stage(sources.catalog), strict=strict, next_ids=ids)
 
-    def grades(tables: Tables) -> Outcome:
+    def grades(tables: Tables) -> tuple[Outcome, DataFrame]:
         feed = stage(read_grades(spark, sources.grades, json_lines=sources.grades_json_lines))
-        return load_grades(tables, feed, as_of, strict, next_ids=ids)
+        done = load_grades(tables, feed, as_of, strict, next_ids=ids)
+        read = feed.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("extracted").alias("metric"), "rows")
+        return done, read.unionByName(done.counters())
 
     steps = [
         (name, step)
-        for name, step, path in (
+        for name, step, given in (
             ("people", people, sources.people),
             ("catalog", catalog, sources.catalog),
             ("grades", grades, sources.grades),
         )
-        if path is not None
+        if given is not None
     ]
     with staging_scope(spark):
         tables = store.read()
         added: dict[str, DataFrame] = {}
         rejected: dict[str, DataFrame] = {}
+        counters: dict[str, dict[str, int]] = {}
         for name, step in steps:
-            outcome = step(tables)
+            outcome, counted = step(tables)
             tables = outcome.tables
             added.update(outcome.added)
+            counters[name] = {r["metric"]: r["rows"] for r in counted.collect()}
             rejected[name] = store.set_aside(outcome.rejected, name, batch)
         store.publish(append=added, batch=batch)
-    return rejected
+    return LoadReport(rejected, counters)

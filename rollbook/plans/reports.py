@@ -23,7 +23,7 @@ from rollbook.functions.exact import (
     mean_units,
     merge_parts,
 )
-from rollbook.functions.joins import all_set, distinct_keys, fits_broadcast
+from rollbook.functions.joins import all_set
 from rollbook.functions.staging import stage
 from rollbook.operators.lookup import with_match
 
@@ -72,6 +72,16 @@ def top_mean(
     return _top(parts, list(keys), min_count, k, list(tie or keys), mean_name)
 
 
+def _named_top(
+    per_student: DataFrame, students: DataFrame, names: list[str], min_count: int, k: int, mean_name: str
+) -> DataFrame:
+    """The best students that exist; names are looked up for these few only."""
+    there = with_match(per_student, students, ["student_id"])
+    best = _top(there, ["student_id"], min_count, k, ["student_id"], mean_name)
+    named = best.join(students.select("student_id", *names), "student_id")
+    return pg_order(named.select("student_id", *names, mean_name), mean_name, tie=["student_id"])
+
+
 def _top(
     parts: DataFrame, keep: list[str], min_count: int, k: int, tie: list[str], mean_name: str
 ) -> DataFrame:
@@ -121,8 +131,7 @@ def deans_list(
         .agg(*merge_parts())
         .where(F.col(COUNT) >= min_count)
     )
-    named = per_student.join(students.select("student_id", "first_name", "last_name", "major"), "student_id")
-    return _top(named, ["student_id", "first_name", "last_name", "major"], min_count, k, ["student_id"], "overall_gpa")
+    return _named_top(per_student, students, ["first_name", "last_name", "major"], min_count, k, "overall_gpa")
 
 
 # -- transcripts ------------------------------------------------------------
@@ -180,23 +189,17 @@ def transcripts_for(
 ) -> DataFrame:
     """Transcripts of the requested emails only.
 
-    A request that was counted and is small enough reduces each table by
-    broadcast before anything is shuffled.  Beyond that size the full report is
-    computed for the requested students, hot enrollments folded as always.
+    The requests reduce students, these the enrollments, these the grades,
+    before anything is folded.  The enrollments are written, so their size
+    decides how the grades are reduced: by a broadcast, or by the shuffle that
+    the fold needs anyway.
     """
-    asked = stage(distinct_keys(requests, ["email"]))
-    if not fits_broadcast(asked):
-        return transcripts(with_match(students, asked, ["email"]), courses, enrollments, grades)
-    people = students.join(F.broadcast(asked), "email", "left_semi")
-    theirs = stage(
-        enrollments.select("enrollment_id", "student_id", "course_id", "semester").join(
-            F.broadcast(people.select("student_id")), "student_id", "left_semi"
-        )
+    people = with_match(students, requests, ["email"])
+    theirs = enrollments.select("enrollment_id", "student_id", "course_id", "semester").join(
+        people.select("student_id"), "student_id", "left_semi"
     )
-    ids = theirs.select("enrollment_id")
-    if fits_broadcast(ids):
-        grades = grades.join(F.broadcast(ids), "enrollment_id", "left_semi")
-    return transcripts(people, courses, theirs, grades)
+    theirs = stage(theirs)
+    return transcripts(people, courses, theirs, with_match(grades, theirs, ["enrollment_id"]))
 
 
 def deans_list_by_course(
@@ -214,8 +217,7 @@ def deans_list_by_course(
         .select("student_id", from_units(mean_units()).alias("final_score"))
     )
     per_student = finals.groupBy("student_id").agg(*mean_parts("final_score")).where(F.col(COUNT) >= min_count)
-    named = per_student.join(students.select("student_id", "first_name", "last_name"), "student_id")
-    return _top(named, ["student_id", "first_name", "last_name"], min_count, k, ["student_id"], "gpa")
+    return _named_top(per_student, students, ["first_name", "last_name"], min_count, k, "gpa")
 
 
 # -- attendance -------------------------------------------------------------
@@ -318,20 +320,24 @@ def activity_log(
     enrollments: DataFrame,
     grades: DataFrame,
     attendance: DataFrame,
+    requests: DataFrame | None = None,
 ) -> DataFrame:
     """Grades and attendance of every enrollment, without pairing them up.
 
+    ``requests`` (email, course_code) narrows the log to the enrollments asked for.
+
     Two left joins from an enrollment to its m grades and n attendance rows
     give m x n rows.  Here each grade and each attendance row stands once with
     ``times``, the number of rows it has in that join, so the size stays
     m + n.  An enrollment with neither has one row of kind ``none``.
     """
-    rows = _activity_rows(grades, attendance)
-    sized = enrollments.select("enrollment_id", "student_id", "course_id").join(
-        _activity_sizes(rows), "enrollment_id", "left"
-    )
     names = ["enrollment_id", "first_name", "last_name", "course_code"]
-    base = _enrolled(students, courses, sized).select(*names, "n_grades", "n_attendance")
+    wanted = _enrolled(students, courses, enrollments.select("enrollment_id", "student_id", "course_id"))
+    if requests is not None:
+        wanted = stage(with_match(wanted, requests, ["email", "course_code"]))
+        grades, attendance = (with_match(t, wanted, ["enrollment_id"]) for t in (grades, attendance))
+    rows = stage(_activity_rows(grades, attendance))
+    base = stage(wanted.join(_activity_sizes(rows), "enrollment_id", "left").select(*names, "n_grades", "n_attendance"))
     other = F.when(F.col("kind") == "grade", F.col("n_attendance")).otherwise(F.col("n_grades"))
     listed = rows.join(base, "enrollment_id").select(
         *names,
@@ -348,40 +354,6 @@ def activity_log(
     return listed.unionByName(idle, allowMissingColumns=True)
 
 
-def activity_detail(
-    students: DataFrame,
-    courses: DataFrame,
-    enrollments: DataFrame,
-    grades: DataFrame,
-    attendance: DataFrame,
-    requests: DataFrame,
-    max_rows: int = 1_000_000,
-) -> DataFrame:
-    """The m x n listing for requested (email, course_code) pairs.
-
-    Meant for looking at a few enrollments.  The size of the result is computed
-    first; above ``max_rows`` the call fails and ``activity_log`` is the way to
-    get the same facts in linear size.
-    """
-    asked = distinct_keys(requests, ["email", "course_code"])
-    base = enrollments.select("enrollment_id", "student_id", "course_id")
-    wanted = _enrolled(students, courses, base).join(asked, ["email", "course_code"], "left_semi")
-    ids = wanted.select("enrollment_id")
-    marks = grades.join(ids, "enrollment_id", "left_semi")
-    days = attendance.join(ids, "enrollment_id", "left_semi")
-    sizes = _activity_sizes(_activity_rows(marks, days))
-    expected = sizes.agg(
-        F.sum(F.greatest("n_grades", F.lit(1)) * F.greatest("n_attendance", F.lit(1))).alias("n")
-    ).first()["n"]
-    if (expected or 0) > max_rows:
-        raise ValueError(f"{expected} rows expected, more than {max_rows}; use activity_log")
-    return (
-        wanted.join(marks.select("enrollment_id", "assessment_type", "score"), "enrollment_id", "left")
-        .join(days.select("enrollment_id", "status", "attendance_date"), "enrollment_id", "left")
-        .select("first_name", "last_name", "course_code", "assessment_type", "score", "status", "attendance_date")
-    )
-
-
 # -- text -------------------------------------------------------------------
 
 RULE = "-" * 40
@@ -392,8 +364,10 @@ def _lines(records: DataFrame, title: str, second: Column, body: Column) -> Data
     """Text lines of all transcripts as rows, in reading order by their columns.
 
     The heading lines come from one aggregate row per student.  No transcript
-    is gathered into a single value, so its length does not matter.
+    is gathered into a single value, so its length does not matter.  The records
+    are written, as both kinds of lines need them.
     """
+    records = stage(records)
     name = F.concat_ws(" ", "first_name", "last_name")
     heads = records.groupBy("student_id").agg(F.min(name).alias("_name"))
     blank = F.lit("")
@@ -457,7 +431,6 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 
 
 __all__ = [
-    "activity_detail",
     "activity_log",
     "at_risk",
     "attendance_pct",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollbook import schemas
@@ -10,9 +11,16 @@ from rollbook.functions.staging import stage, staging_scope
 from rollbook.plans import commands as C
 from rollbook.sources.store import TableStore
 
+ARRIVED, FILE = "_arrived", "_file"
+
 
 def apply_batch(
-    store: TableStore, verb: str, commands: DataFrame, batch: str, as_of: Column | str | None = None
+    store: TableStore,
+    verb: str,
+    commands: DataFrame,
+    batch: str,
+    as_of: Column | str | None = None,
+    order: tuple[str, ...] = ("seq",),
 ) -> None:
     """Apply one batch of commands to the stored tables unless it has been applied.
 
@@ -31,17 +39,17 @@ def apply_batch(
         rewrite = {}
         if verb == "record_grades":
             # Only files that hold a changed grade are written again.
-            changes, rejected = C.grade_changes(tables, calls)
+            changes, rejected = C.grade_changes(tables, calls, order)
             files = store.files_with("grades", changes, ["enrollment_id", "assessment_type"])
             updated, new = C.apply_changes(store.read_files("grades", files), changes, ids)
             rewrite, added = {"grades": (files, updated)}, {"grades": new}
         else:
             if verb == "add_students":
-                done = C.add_students(tables, calls, next_ids=ids)
+                done = C.add_students(tables, calls, order, next_ids=ids)
             elif verb == "register_students":
-                done = C.register_students(tables, calls, as_of, next_ids=ids)
+                done = C.register_students(tables, calls, as_of, order, next_ids=ids)
             else:
-                done = C.mark_attendance(tables, calls, as_of, next_ids=ids)
+                done = C.mark_attendance(tables, calls, as_of, order, next_ids=ids)
             rejected, added = done.rejected, done.added
         store.set_aside(rejected, verb, batch)
         store.publish(append=added, rewrite=rewrite, batch=batch)
@@ -60,14 +68,20 @@ def start_command_stream(
     """Apply command files (JSON lines) of ``in_dir`` as they arrive.
 
     The state of the commands is the stored tables, so the stream itself keeps
-    none.  ``seq`` orders the commands of a batch.
+    none.  Commands take effect in the order in which they arrive: by the time
+    of their file, then its name, then ``seq``.  Files are taken in that order
+    too, so the outcome does not depend on how many make a batch (files of one
+    millisecond excepted, which may be taken in any order).
     """
     incoming = (
-        spark.readStream.schema(schemas.COMMANDS[verb]).option("maxFilesPerTrigger", max_files).json(in_dir)
+        spark.readStream.schema(schemas.COMMANDS[verb])
+        .option("maxFilesPerTrigger", max_files)
+        .json(in_dir)
+        .select("*", F.col("_metadata.file_modification_time").alias(ARRIVED), F.col("_metadata.file_path").alias(FILE))
     )
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(store, verb, batch, f"{verb}-{batch_id}", as_of)
+        apply_batch(store, verb, batch, f"{verb}-{batch_id}", as_of, (ARRIVED, FILE, "seq"))
 
     writer = incoming.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -5,8 +5,6 @@ from decimal import Decimal as D
 
 import pytest
 
-from rollbook.functions import joins
-from rollbook.operators import lookup
 from rollbook.plans import commands as C
 from tests.conftest import rows
 
@@ -14,12 +12,15 @@ GRADE = "seq int, email string, course_code string, assessment string, score str
 
 
 @pytest.fixture(params=["small", "large"], autouse=True)
-def broadcast_limit(request, monkeypatch):
-    """Run every case on the broadcast path and on the shuffle path."""
+def planned_joins(request, spark):
+    """Run every case with joins broadcast and with joins shuffled, as the planner would choose by size."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     if request.param == "large":
-        for module in (lookup, C):
-            monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
-    assert joins.BROADCAST_ROWS > 0
+        for key in keys:
+            spark.conf.set(key, "-1")
+    yield
+    for key in keys:
+        spark.conf.unset(key)
 
 
 def test_add_students(spark, school):
@@ -182,3 +183,32 @@ def test_grade_feed_strict_or_set_aside(spark, school):
     assert rows(done.rejected, "score", "reasons") == [("150", ["score_out_of_range"]), ("x", ["student_not_found"])]
     # a bad value of a skipped row does not fail a strict load
     assert C.load_grades(school, feed.where("score != '150'")).added["grades"].count() == 1
+
+
+def test_scores_that_are_no_plain_numbers_are_refused(spark, school):
+    call = ("ann@x", "M1", "Midterm")
+    given = ["88d", "88f", "0x1p3", "NaN", None, " 70 ", "7e1"]
+    calls = spark.createDataFrame([(i, *call, s, "0.3") for i, s in enumerate(given)], GRADE)
+    done = C.record_grades(school, calls)
+    assert rows(done.rejected, "seq", "reasons") == [
+        (0, ["score_bad_number"]),
+        (1, ["score_bad_number"]),
+        (2, ["score_bad_number"]),
+        (3, ["score_out_of_range"]),
+        (4, ["score_missing"]),
+    ]
+    kept = done.tables["grades"].where("enrollment_id = 10 and assessment_type = 'Midterm'")
+    assert rows(kept, "score") == [(D("70.00"),)]
+
+
+def test_dedupe_keeps_nulls_and_the_first(spark, school):
+    feed = spark.createDataFrame(
+        [(1, "M1", "Quiz", None, "0.1", 1), (1, "M1", "Quiz", None, "0.1", 2), (1, "M1", "Test", "70", "0.2", 4), (1, "M1", "Test", "70", "0.1", 3)],
+        "student_ref_id long, course_code_ref string, assessment string, score string, weight string, feed_order int",
+    )
+    added = C.load_grades(school, feed, dedupe_on=["enrollment_id", "assessment_type", "score"]).added["grades"]
+    assert rows(added, "assessment_type", "score", "weight") == [
+        ("Quiz", None, D("0.10")),
+        ("Quiz", None, D("0.10")),
+        ("Test", D("70.00"), D("0.10")),
+    ]

@@ -22,13 +22,11 @@ TIGHT = {
 
 
 @pytest.fixture
-def tight(spark, monkeypatch):
+def tight(spark):
     """No broadcasts, and sizes at which a test table counts as large."""
     old = {k: spark.conf.get(k, None) for k in TIGHT}
     for k, v in TIGHT.items():
         spark.conf.set(k, v)
-    for module in (lookup, A):
-        monkeypatch.setattr(module, "fits_broadcast", lambda df: False)
     yield
     for k, v in old.items():
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
