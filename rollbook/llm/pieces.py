@@ -17,11 +17,11 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +86,8 @@ class Segmenter:
             self.symbols[c] = r
         self.symbols[ord(" ")] = self.symbols[ord(_BLANK)]
         self.symbols[ord(_BLANK)] = words.unknown + self._LITERAL
+        self.is_byte = np.zeros(len(words.pieces), bool)
+        self.is_byte[list(words.byte_of)] = True
         self.known: list[dict[str, list[int]]] = [{} for _ in range(draws)]
         self._chunks = re.compile(" *[^ ]+| +").findall
 
@@ -111,13 +113,21 @@ class Segmenter:
                 out += [self.words.id_of_byte[b] for b in (_BLANK if c == self._LITERAL else chr(c)).encode()]
         return out
 
-    def _key(self, chunk: str, draw: int) -> int:
-        return xxhash.xxh64_intdigest(chunk.encode(), self.seed * self.draws + draw)
+    def _keys(self, symbols: np.ndarray, starts: np.ndarray, place: np.ndarray, draws: np.ndarray) -> np.ndarray:
+        """A key for each chunk, of its symbols, its draw and the seed."""
+        power = np.multiply.accumulate(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+        mixed = (symbols.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) * power[place]
+        keys = np.add.reduceat(mixed, starts) + (draws.astype(np.uint64) + np.uint64(self.seed * self.draws + 1)) * np.uint64(
+            0xA0761D6478BD642F
+        )
+        keys = (keys ^ (keys >> np.uint64(32))) * np.uint64(0xE7037ED1A0B428DB)
+        return keys ^ (keys >> np.uint64(29))
 
     def segment_long(self, chunk: str, draw: int) -> list[int]:
         """One chunk of any length, from a heap."""
         symbols = self.symbols[np.frombuffer(chunk.encode("utf-32-le"), np.uint32)]
-        n, key = len(symbols), np.array([self._key(chunk, draw)], np.uint64)
+        n = len(symbols)
+        key = self._keys(symbols, np.array([0]), np.arange(n), np.array([draw]))
         first = self._made(symbols[:-1], symbols[1:])
         agenda = [int(r) << 32 | i for i, r in enumerate(first.tolist()) if r >= 0]
         heapq.heapify(agenda)
@@ -147,8 +157,9 @@ class Segmenter:
         symbol = self.symbols[np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)]
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         owner = np.repeat(np.arange(len(chunks)), sizes)
-        place = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        keys = np.fromiter(map(self._key, chunks, draws), np.uint64, len(chunks))
+        firsts = np.cumsum(sizes) - sizes
+        place = np.arange(len(symbol)) - np.repeat(firsts, sizes)
+        keys = self._keys(symbol, firsts, place, np.array(draws))
         entry = np.full(len(symbol), none)
         made = self._made(symbol[:-1], symbol[1:])
         has = np.flatnonzero((made >= 0) & (owner[:-1] == owner[1:]))
@@ -198,40 +209,44 @@ class Segmenter:
             out[c] = self._ids(symbol[ends[c] - len(out[c]) : ends[c]].tolist())
         return out
 
-    def encode(self, texts: Sequence[str], keys: Sequence[int], longest: int = 64) -> list[list[int]]:
+    def encode(self, texts: Sequence[str], keys: Sequence[int], longest: int = 64) -> list[np.ndarray]:
         """Piece ids of each text; one blank is put before a text, an empty one has none."""
-        known, work, new = self.known, [], {}
+        known, work = self.known, []
         for seen in known:
             if len(seen) >= self.remember:
                 seen.clear()
+        find = [seen.get for seen in known]
+        new: dict[tuple[int, str], list[int] | None] = {}
         for text, key in zip(texts, keys, strict=True):
             chunks = self._chunks(" " + text) if text else []
             places = np.arange(len(chunks), dtype=np.uint64) + np.uint64(key & _MASK)
             places *= np.uint64(0x9E3779B97F4A7C15)
             places ^= places >> np.uint64(32)
             draws = (((places * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)) % np.uint64(self.draws)).tolist()
-            work.append((chunks, draws))
-            new.update(dict.fromkeys((d, c) for c, d in zip(chunks, draws, strict=True) if c not in known[d]))
+            parts = [find[d](c) for d, c in zip(draws, chunks, strict=True)]
+            open_ = [i for i, p in enumerate(parts) if p is None]
+            new.update(dict.fromkeys([(draws[i], chunks[i]) for i in open_]))
+            work.append((parts, [(i, draws[i], chunks[i]) for i in open_]))
         short = [x for x in new if len(x[1]) <= longest]
         if short:
-            found = self.segment([c for _, c in short], [d for d, _ in short])
-            for (d, c), ids in zip(short, found, strict=True):
-                known[d][c] = ids
-        long = {x: self.segment_long(x[1], x[0]) for x in new if len(x[1]) > longest}
-        out = []
-        for chunks, draws in work:
-            ids: list[int] = []
-            for c, d in zip(chunks, draws, strict=True):
-                ids += known[d][c] if c in known[d] else long[d, c]
-            out.append(ids)
-        return out
+            for x, ids in zip(short, self.segment([c for _, c in short], [d for d, _ in short]), strict=True):
+                new[x] = known[x[0]][x[1]] = ids
+        for x in new:
+            if len(x[1]) > longest:
+                new[x] = self.segment_long(x[1], x[0])
+        for parts, open_ in work:
+            for i, d, c in open_:
+                parts[i] = new[d, c]
+        return [np.fromiter(chain.from_iterable(parts), np.int32) for parts, _ in work]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text that was encoded, to the last character."""
         if not len(ids):
             return ""
         pieces, byte_of = self.words.pieces, self.words.byte_of
-        if byte_of.keys().isdisjoint(ids):
+        bytes_in = self.is_byte[ids].any()
+        ids = np.asarray(ids).tolist()
+        if not bytes_in:
             return "".join([pieces[i] for i in ids]).replace(_BLANK, " ")[1:]
         parts = [bytes([byte_of[i]]) if i in byte_of else pieces[i].replace(_BLANK, " ").encode() for i in ids]
         return b"".join(parts).decode()[1:]
@@ -281,8 +296,7 @@ def encode(
                 lossless = [work.decode(ids) == text for ids, text in zip(found, texts, strict=True)]
                 sizes = [len(ids) for ids in found]
                 ends = np.cumsum([0, *sizes])
-                whole = [np.array(ids, np.int32) for ids in found]
-                values = pa.array(np.concatenate(whole) if whole else np.empty(0, np.int32), pa.int32())
+                values = pa.array(np.concatenate(found), pa.int32())
                 yield pa.RecordBatch.from_pydict(
                     {
                         "id": part.column("id"),
