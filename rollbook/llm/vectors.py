@@ -188,46 +188,46 @@ def _packed(group: pd.DataFrame) -> pd.DataFrame:
 def top_of_block(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple]:
     """The k best rows of one block for each query, from sorted lists read in order.
 
-    Each component is a list sorted by value; for a query it is read from the
-    end that scores higher.  After each stretch, a row's lower bound is what
-    has been read of it plus the least that its unread components can add, its
-    upper bound takes the value at which the list stands instead.  Rows whose
-    upper bound is below the k-th lower bound are out; when few are left, or
-    all are read, the final scores of those left are worked out.
+    Each component is a list sorted by value; a query reads it from the end
+    that scores higher, all its lists to the same depth.  What has been read of
+    a row counts as it is.  For its lower bound the unread components count
+    with the value at the far end of their list, for its upper bound with the
+    value at which reading stands.  Rows whose upper bound is below the k-th
+    lower bound are out, seen or not; when few are left, or the lists are at
+    their end, the final scores of those left are worked out.  The queries of a
+    block read in step, so the bounds of all are matrix products.
     """
-    n, dim = x.shape
+    n = len(x)
+    few = max(4 * k, 64)
+    alive = ids[:, None] != query_ids[None, :]
+    going = np.arange(len(queries))
     order = np.argsort(x, axis=0, kind="stable")
-    lists = np.take_along_axis(x, order, axis=0)
+    lists = np.take_along_axis(x, order, axis=0).astype(np.float64)
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(n)[:, None], axis=0)
+    values, up, down = x.astype(np.float64), np.maximum(queries, 0).T.astype(np.float64), np.minimum(queries, 0).T.astype(np.float64)
+    # room for rounding where scores leave the whole numbers of a double
+    room = 1e-12 * x.shape[1] * float(np.abs(x).max(initial=0)) * float(np.abs(queries).max(initial=0))
+    depth = max(32, n // 16)
+    while n > few and depth < n and len(going):
+        top, bottom = place >= n - depth, place < depth
+        u, d = up[:, going], down[:, going]
+        upper = np.where(top, values, lists[n - depth]) @ u + np.where(bottom, values, lists[depth - 1]) @ d
+        lower = np.where(top, values, lists[0]) @ u + np.where(bottom, values, lists[-1]) @ d
+        lower[~alive[:, going]] = -np.inf
+        bar = np.partition(lower, n - k, axis=0)[n - k]
+        alive[:, going] &= upper >= bar - room
+        going = going[alive[:, going].sum(axis=0) > few]
+        depth *= 2
     out = []
-    for q, own in zip(queries, query_ids, strict=True):
-        used = np.flatnonzero(q)
-        weight = q[used]
-        least = np.minimum(weight * lists[0, used], weight * lists[-1, used])
-        read = np.zeros(n, np.int64)
-        least_rest = np.full(n, least.sum(), np.int64)
-        unread = np.ones((n, len(used)), bool)
-        alive = np.flatnonzero(ids != own)
-        at, step = 0, max(64, n // 16)
-        while len(used) and len(alive) > max(4 * k, 64) and at < n:
-            end = min(n, at + step)
-            for c, j in enumerate(used):
-                # lists ascend, so the better end of a positive weight is the last one
-                if weight[c] > 0:
-                    part, value = order[n - end : n - at, j], lists[n - end : n - at, j] * weight[c]
-                else:
-                    part, value = order[at:end, j], lists[at:end, j] * weight[c]
-                read[part] += value
-                least_rest[part] -= least[c]
-                unread[part, c] = False
-            at, step = end, step * 2
-            stands = np.where(weight > 0, lists[n - at, used], lists[at - 1, used]) * weight
-            lower = read[alive] + least_rest[alive]
-            upper = read[alive] + unread[alive] @ stands
-            bar = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else lower.min(initial=0)
-            alive = alive[upper >= bar]
-        score = x[alive] @ q
-        best = np.lexsort((ids[alive], -score))[:k]
-        out += [(int(own), int(ids[alive[b]]), int(score[b])) for b in best]
+    for c, own in enumerate(query_ids):
+        left = np.flatnonzero(alive[:, c])
+        score = x[left] @ queries[c]
+        if len(left) > few:
+            cut = np.partition(score, len(score) - k)[len(score) - k]
+            left, score = left[score >= cut], score[score >= cut]
+        best = np.lexsort((ids[left], -score))[:k]
+        out += [(int(own), int(ids[left[b]]), int(score[b])) for b in best]
     return out
 
 
