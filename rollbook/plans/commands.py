@@ -204,8 +204,7 @@ def grade_changes(
 def apply_changes(grades: DataFrame, changes: DataFrame, next_ids: NextIds = None) -> tuple[DataFrame, DataFrame]:
     """(old rows brought up to date, rows to add).
 
-    All rows of a key take the change, a NULL weight included.  ``grades`` may
-    be any part of the table that holds all rows of the changed keys.
+    All rows of a key take the change, a NULL weight included.
     """
     old = conform(grades, schemas.GRADES)
     news = changes.withColumn("_hit", F.lit(True))
@@ -217,10 +216,15 @@ def apply_changes(grades: DataFrame, changes: DataFrame, next_ids: NextIds = Non
             "weight": F.when(hit, F.col("new_weight")).otherwise(F.col("weight")),
         }
     ).select(*old.columns)
-    fresh = changes.join(held_keys(old, changes, _GRADE_KEY), _GRADE_KEY, "left_anti").select(
+    return updated, new_grades(old, changes, next_ids)
+
+
+def new_grades(grades: DataFrame, changes: DataFrame, next_ids: NextIds = None) -> DataFrame:
+    """Rows to add: the changes whose key no grade has."""
+    fresh = changes.join(held_keys(grades, changes, _GRADE_KEY), _GRADE_KEY, "left_anti").select(
         *_GRADE_KEY, F.col("new_score").alias("score"), F.col("new_weight").alias("weight")
     )
-    return updated, _with_ids({"grades": old}, "grades", fresh, None, next_ids)
+    return _with_ids({"grades": grades}, "grades", fresh, None, next_ids)
 
 
 def record_grades(

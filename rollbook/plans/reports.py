@@ -356,6 +356,7 @@ def activity_log(
 
 # -- text -------------------------------------------------------------------
 
+# The texts of the two layouts.
 RULE = "-" * 40
 LISTING_HEADER = "Course Code | Course Name | Score | Grade"
 

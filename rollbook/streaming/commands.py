@@ -36,13 +36,11 @@ def apply_batch(
     store = TableStore(spark, store.root)
     with staging_scope(spark):
         tables, ids, calls = store.read(), store.next_ids(), stage(commands)
-        rewrite = {}
+        changes = None
         if verb == "record_grades":
-            # Only files that hold a changed grade are written again.
+            # the changes are stored as such, and folded when the table is read
             changes, rejected = C.grade_changes(tables, calls, order)
-            files = store.files_with("grades", changes, ["enrollment_id", "assessment_type"])
-            updated, new = C.apply_changes(store.read_files("grades", files), changes, ids)
-            rewrite, added = {"grades": (files, updated)}, {"grades": new}
+            added = {"grades": C.new_grades(tables["grades"], changes, ids)}
         else:
             if verb == "add_students":
                 done = C.add_students(tables, calls, order, next_ids=ids)
@@ -52,7 +50,7 @@ def apply_batch(
                 done = C.mark_attendance(tables, calls, as_of, order, next_ids=ids)
             rejected, added = done.rejected, done.added
         store.set_aside(rejected, verb, batch)
-        store.publish(append=added, rewrite=rewrite, batch=batch)
+        store.publish(append=added, changes=changes, batch=batch)
 
 
 def start_command_stream(

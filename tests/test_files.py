@@ -4,8 +4,6 @@ import datetime as dt
 import json
 import os
 from decimal import Decimal as D
-from pathlib import Path
-from urllib.parse import urlparse
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -169,18 +167,37 @@ def test_store_publishes_whole_states(spark, tmp_path, school):
     assert store.version() == 3 and store.read()["attendance"].count() == 10
 
 
-def test_rewritten_files_are_not_read(spark, tmp_path, school):
-    store = TableStore(spark, str(tmp_path / "store"))
-    store.publish(replace={"grades": school["grades"].repartition(3, "grade_id")}, cluster=False)
-    keys = school["grades"].where("grade_id = 100").select("grade_id")
-    files = store.files_with("grades", keys, ["grade_id"])
-    assert len(files) == 1 and store.files_with("students", keys, ["student_id"]) == []
-    left = store.read_files("grades", files).where("grade_id != 100")
-    store.publish(rewrite={"grades": (files, left)})
-    Path(urlparse(files[0]).path).unlink()  # would fail if it were opened
-    assert rows(store.read()["grades"], "grade_id") == [(101,), (102,), (103,)]
+def test_changes_hold_for_rows_written_before(spark, tmp_path, school):
+    store = TableStore(spark, str(tmp_path / "a store"))
+    store.publish(replace=school)
+
+    def change(*rows_):
+        schema = "enrollment_id long, assessment_type string, new_score decimal(5,2), new_weight decimal(3,2)"
+        return spark.createDataFrame([(*r[:2], *(None if x is None else D(x) for x in r[2:])) for r in rows_], schema)
+
+    store.publish(changes=change((12, "Midterm", "10", None), (10, "Final", "20", "0.1")))
+    late = school["grades"].where("grade_id = 102").selectExpr("grade_id + 10 as grade_id", "enrollment_id", "assessment_type", "score", "weight")
+    store.publish(append={"grades": late})
+    store.publish(changes=change((10, "Final", "30", "0.2")))
+    want = [(100, D("80.00")), (101, D("30.00")), (102, D("10.00")), (103, D("10.00")), (112, D("59.99"))]
+    assert rows(store.read()["grades"], "grade_id", "score") == want
+    assert rows(store.read(2)["grades"].where("grade_id = 101"), "score") == [(D("20.00"),)]
     store.compact()
-    assert store.read()["grades"].count() == 3
+    assert rows(store.read()["grades"], "grade_id", "score") == want
+    assert store.next_ids()["grades"] == 113
+
+
+def test_a_publish_writes_only_its_own_lines(spark, tmp_path, school):
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.publish(replace=school)
+    one = school["attendance"].limit(1)
+    sizes = []
+    for _ in range(12):
+        store.publish(append={"attendance": one})
+        newest = max((tmp_path / "store" / "manifest").glob("part-*"), key=lambda p: p.stat().st_mtime_ns)
+        sizes.append(newest.stat().st_size)
+    assert max(sizes) - min(sizes) < 20
+    assert store.read()["attendance"].count() == 20
 
 
 def test_ids_are_not_given_again(spark, tmp_path, school):
