@@ -18,12 +18,7 @@ def connected(links: DataFrame) -> DataFrame:
     NULL; no links give no rows.
     """
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
-    before = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state[0] == 0 or state == before:
-            break
-        before = state
+    while not _stars(edges):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = stage(both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -32,3 +27,10 @@ def connected(links: DataFrame) -> DataFrame:
         edges = stage(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour or only larger ones."""
+    ends = edges.select(F.col("u").alias("x"), "v").unionAll(edges.select(F.col("v").alias("x"), F.lit(None).cast("long").alias("v")))
+    seen = ends.groupBy("x").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.when(F.col("v").isNull(), 1)).alias("above"))
+    return seen.filter("low != high or (low is not null and above > 0)").isEmpty()

@@ -6,9 +6,10 @@ the other and dropped as soon as the posterior probability of the wanted
 similarity falls below the chosen chance of a miss; what survives is verified
 on the full sets.
 
-Equal sets are one node from the start.  Some rounds compare each node with the
-hub it shares most buckets with, another hub each time, and join what is
-linked; that is linear in the nodes and joins most of a large group of copies.
+Equal sets are one node from the start.  Each node is compared with a few hubs,
+those of its buckets that it shares most buckets with, and joined to what it is
+linked with; that is linear in the nodes and joins most of a large group of
+copies.
 Then all pairs of a bucket that are still in different components are compared
 in blocks of bounded size, first by signature, to find the nodes that need
 their full sets, then by set.  A block gives the links that join components and
@@ -307,7 +308,7 @@ def near_duplicates(
     text_col: str = "text",
     percent: int = 75,
     miss: float = 1e-4,
-    rounds: int = 2,
+    hubs: int = 2,
     block: int = 256,
     carry: bool = False,
 ) -> DataFrame:
@@ -343,8 +344,10 @@ def near_duplicates(
     signatures = members.filter("row = node").select("node", "n", "sig")
 
     banded = signatures.select("node", F.posexplode("sig").alias("band", "key"))
-    buckets = stage(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    held = stage(banded.join(buckets.drop("size"), ["band", "key"]))
+    picks = [F.min_by("node", F.xxhash64(F.lit(turn), "node")) for turn in range(hubs)]
+    buckets = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), *[p.alias(f"hub{i}") for i, p in enumerate(picks)])
+    buckets = stage(buckets.filter("size > 1").drop("size"))
+    held = stage(banded.join(buckets, ["band", "key"]))
     limits = _limits(percent / 100, miss)
 
     # full sets of all nodes that share a bucket with another
@@ -352,18 +355,17 @@ def near_duplicates(
     texts = rows.select(F.col("row").alias("node"), text)
     links = _Links(stage(texts.join(wanted, "node", "left_semi").mapInArrow(_sets, "node long, set binary")), percent)
 
-    # each node with the hub it shares most buckets with, another hub in each round
+    # each node with the hubs it shares most buckets with
+    turns = F.posexplode(F.array(*[f"hub{i}" for i in range(hubs)])).alias("turn", "a")
+    spokes = held.select("node", turns).filter("node != a").groupBy("node", "turn", "a").agg(F.count(F.lit(1)).alias("n"))
+    best = spokes.groupBy("node", "turn").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    pairs = stage(best.select("a", F.col("node").alias("b")).distinct())
     one = signatures.select(F.col("node").alias("a"), F.col("sig").alias("sig_a"), F.col("n").alias("n_a"))
     two = signatures.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"), F.col("n").alias("n_b"))
-    for turn in range(rounds):
-        mixed = _mixed(links.rooted(held), F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(turn), "node")).alias("hub"))
-        spokes = mixed.filter("root != hub.root").groupBy("node", F.col("hub.node").alias("a")).agg(F.count(F.lit(1)).alias("n"))
-        pairs = stage(spokes.groupBy(F.col("node").alias("b")).agg(F.max_by("a", F.struct("n", "a")).alias("a")))
-        if pairs.isEmpty():
-            break
-        near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-        likely = pairs.join(two, "b").join(one, "a").filter(near).select("a", "b", "sig_a", "sig_b")
-        links.verify(stage(likely.mapInPandas(_pruned(limits), "a long, b long")))
+    near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    likely = pairs.join(two, "b").join(one, "a").filter(near).select("a", "b", "sig_a", "sig_b")
+    links.verify(stage(likely.mapInPandas(_pruned(limits), "a long, b long")))
+    held = held.select("band", "key", "node")
 
     # buckets that still hold several components, in blocks: by signature, then by set
     size = F.count(F.lit(1)).alias("size")
