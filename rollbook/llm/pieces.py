@@ -78,7 +78,7 @@ class Segmenter:
     #: The sign for a blank where it is itself in a text: not a piece, so it becomes bytes.
     _LITERAL = 0x110000
 
-    def __init__(self, words: Vocabulary, rate: float, seed: int, draws: int, remember: int = 120_000) -> None:
+    def __init__(self, words: Vocabulary, rate: float, seed: int, draws: int, remember: int = 60_000) -> None:
         self.words, self.seed, self.draws, self.remember = words, seed, draws, remember
         self.skip_below = int(rate * (1 << 32))
         self.symbols = np.arange(words.unknown, words.unknown + 0x110000, dtype=np.int64)
