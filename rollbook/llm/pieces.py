@@ -3,20 +3,22 @@
 A chunk of text (blanks and the word after them; no piece reaches further) is
 split into characters.  An agenda holds the neighbours that make a piece of the
 vocabulary, best score first; each merge taken from it is skipped when a keyed
-hash of the merge falls below the dropout rate.  Skipping depends on the seed,
-the chunk, and one of a number of draws that the document's key and the place
-in it choose, so texts are segmented differently from place to place and alike
-in every run.  Characters outside the vocabulary become bytes.
-
-The agendas of all new chunks of some documents are worked off side by side,
-one entry of each chunk per round; a very long chunk has a heap of its own.
+hash of the merge falls below the dropout rate.  The hash takes the seed, the
+document's key and the place in it, so every occurrence of a chunk has a draw of
+its own, alike in every run.  Characters outside the vocabulary become bytes.
+
+What is remembered is free of draws: for a chunk and the merges skipped so far,
+which merges follow and what comes of it.  An occurrence looks for the first of
+them that its own hash skips, and goes on from there.  Agendas of what is new
+are worked off side by side, one entry of each chunk per round; a very long chunk
+has a heap of its own, for each occurrence.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -72,14 +74,56 @@ class Vocabulary:
         self.singles = {ord(p): r for p, r in rank.items() if len(p) == 1}
 
 
+class _Column:
+    """Numbers to which others are added at the end."""
+
+    def __init__(self, kind: type) -> None:
+        self.room, self.size = np.empty(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.room):
+            self.room = np.resize(self.room, 2 * (self.size + len(values)))
+        self.room[self.size : self.size + len(values)] = values
+        self.size += len(values)
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
+class _Paths:
+    """What became of chunks so far: a node is a chunk and the merges skipped in it.
+
+    A node has the merges that are taken from the agenda after the last skipped
+    one, and the piece ids if none of these is skipped; each of these merges has
+    the node to go on from if it is the next one skipped, or -1.
+    """
+
+    def __init__(self) -> None:
+        self.roots: dict[str, int] = {}
+        self.chunks: list[str] = []
+        self.parent, self.via = _Column(np.int64), _Column(np.int64)
+        self.first, self.width = _Column(np.int64), _Column(np.int64)
+        self.entry, self.child = _Column(np.int64), _Column(np.int64)
+        self.start, self.size = _Column(np.int64), _Column(np.int64)
+        self.ids = _Column(np.int32)
+
+
 class Segmenter:
-    """Encodes and decodes; ``draws`` ways to segment a chunk are told apart, and those last used are remembered."""
+    """Encodes and decodes; skipping is drawn for every occurrence of a chunk.
+
+    What is remembered of a chunk depends on neither draw nor seed: which merges
+    are taken next after some are skipped.  About ``remember`` such paths are
+    kept; how many are changes the work, never the ids.
+    """
 
     #: The sign for a blank where it is itself in a text: not a piece, so it becomes bytes.
     _LITERAL = 0x110000
+    #: Occurrences that are looked up at once.
+    _BLOCK = 1 << 18
 
-    def __init__(self, words: Vocabulary, rate: float, seed: int, draws: int, remember: int = 60_000) -> None:
-        self.words, self.seed, self.draws, self.remember = words, seed, draws, remember
+    def __init__(self, words: Vocabulary, rate: float, seed: int, remember: int = 300_000) -> None:
+        self.words, self.seed, self.remember = words, seed, remember
         self.skip_below = int(rate * (1 << 32))
         self.symbols = np.arange(words.unknown, words.unknown + 0x110000, dtype=np.int64)
         for c, r in words.singles.items():
@@ -88,7 +132,8 @@ class Segmenter:
         self.symbols[ord(_BLANK)] = words.unknown + self._LITERAL
         self.is_byte = np.zeros(len(words.pieces), bool)
         self.is_byte[list(words.byte_of)] = True
-        self.known: list[dict[str, list[int]]] = [{} for _ in range(draws)]
+        self.known = _Paths()
+        self.merges: dict[int, int] = {}
         self._chunks = re.compile(" *[^ ]+| +").findall
 
     def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -113,25 +158,24 @@ class Segmenter:
                 out += [self.words.id_of_byte[b] for b in (_BLANK if c == self._LITERAL else chr(c)).encode()]
         return out
 
-    def _keys(self, symbols: np.ndarray, starts: np.ndarray, place: np.ndarray, draws: np.ndarray) -> np.ndarray:
-        """A key for each chunk, of its symbols, its draw and the seed."""
-        power = np.multiply.accumulate(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
-        mixed = (symbols.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) * power[place]
-        keys = np.add.reduceat(mixed, starts) + (draws.astype(np.uint64) + np.uint64(self.seed * self.draws + 1)) * np.uint64(
-            0xA0761D6478BD642F
-        )
+    def _keys(self, draws: np.ndarray) -> np.ndarray:
+        """The key of each occurrence, of its draw (any 64 bits) and the seed."""
+        keys = (draws ^ (draws >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        keys = (keys ^ (keys >> np.uint64(29))) + np.uint64((self.seed + 1) * 0xA0761D6478BD642F & _MASK)
         keys = (keys ^ (keys >> np.uint64(32))) * np.uint64(0xE7037ED1A0B428DB)
         return keys ^ (keys >> np.uint64(29))
 
     def segment_long(self, chunk: str, draw: int) -> list[int]:
-        """One chunk of any length, from a heap."""
+        """One chunk of any length under a draw, from a heap."""
         symbols = self.symbols[np.frombuffer(chunk.encode("utf-32-le"), np.uint32)]
         n = len(symbols)
-        key = self._keys(symbols, np.array([0]), np.arange(n), np.array([draw]))
+        key = int(self._keys(np.array([draw & _MASK], np.uint64))[0])
         first = self._made(symbols[:-1], symbols[1:])
         agenda = [int(r) << 32 | i for i, r in enumerate(first.tolist()) if r >= 0]
         heapq.heapify(agenda)
-        made = dict(zip(self.words.pairs.tolist(), self.words.made.tolist(), strict=True))
+        if not self.merges:
+            self.merges = dict(zip(self.words.pairs.tolist(), self.words.made.tolist(), strict=True))
+        made = self.merges
         left = symbols.tolist()
         after, prior = list(range(1, n + 1)), list(range(-1, n - 1))
         while agenda:
@@ -139,7 +183,9 @@ class Segmenter:
             i, r = top & 0xFFFFFFFF, top >> 32
             if left[i] < 0 or (j := after[i]) >= n or made.get(left[i] << 32 | left[j]) != r:
                 continue
-            if self._skipped(np.array([top]), key)[0]:
+            # as in _skipped, for one entry
+            h = (top * 0x9E3779B97F4A7C15 & _MASK) ^ key
+            if ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 & _MASK) >> 32 < self.skip_below:
                 continue
             left[i], left[j] = r, -1
             k = after[i] = after[j]
@@ -152,19 +198,30 @@ class Segmenter:
         return self._ids([s for s in left if s >= 0])
 
     def segment(self, chunks: Sequence[str], draws: Sequence[int]) -> list[list[int]]:
-        """Piece ids of many chunks, each under its draw; every round takes the best entry of each chunk's agenda."""
+        """Piece ids of many chunks, each under its draw."""
+        keys = self._keys(np.array([d & _MASK for d in draws], np.uint64))
+        ids, sizes, *_ = self._merged(chunks, lambda entry, owner: self._skipped(entry, keys[owner]))
+        ends = np.cumsum(sizes).tolist()
+        return [ids[a:b].tolist() for a, b in zip([0, *ends], ends, strict=False)]
+
+    def _merged(self, chunks: Sequence[str], skips: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Piece ids of chunks side by side, how many each has, and what was taken from the agendas: chunk, entry, skipped.
+
+        Every round takes the best entry of each chunk's agenda, and ``skips``
+        says for entries and their chunks which are skipped.
+        """
         none = np.iinfo(np.int64).max
         symbol = self.symbols[np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)]
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         owner = np.repeat(np.arange(len(chunks)), sizes)
         firsts = np.cumsum(sizes) - sizes
         place = np.arange(len(symbol)) - np.repeat(firsts, sizes)
-        keys = self._keys(symbol, firsts, place, np.array(draws))
         entry = np.full(len(symbol), none)
         made = self._made(symbol[:-1], symbol[1:])
         has = np.flatnonzero((made >= 0) & (owner[:-1] == owner[1:]))
         entry[has] = made[has] << 32 | place[has]
         done_owner, done_symbol = [], []
+        taken: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))]
         while len(symbol):
             new = np.empty(len(owner), bool)
             new[0] = True
@@ -182,7 +239,8 @@ class Segmenter:
                 if not len(symbol):
                     break
             at = np.flatnonzero(entry == spread)
-            skip = self._skipped(entry[at], keys[owner[at]])
+            skip = skips(entry[at], owner[at])
+            taken.append((owner[at], entry[at], skip))
             entry[at[skip]] = none
             at = at[~skip]
             if not len(at):
@@ -200,44 +258,129 @@ class Segmenter:
                 entry[one] = np.where(made >= 0, made << 32 | place[one], none)
         owner, symbol = np.concatenate(done_owner), np.concatenate(done_symbol)
         order = np.argsort(owner, kind="stable")
-        symbol = symbol[order]
-        ends = np.cumsum(np.bincount(owner, minlength=len(chunks))).tolist()
-        strange = np.unique(owner[order][symbol >= self.words.unknown]).tolist()
-        ids = self.words.ids[np.minimum(symbol, self.words.unknown - 1)].tolist()
-        out = [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        for c in strange:
-            out[c] = self._ids(symbol[ends[c] - len(out[c]) : ends[c]].tolist())
+        owner, symbol = owner[order], symbol[order]
+        sizes = np.bincount(owner, minlength=len(chunks))
+        ids = self.words.ids[np.minimum(symbol, self.words.unknown - 1)]
+        strange = np.flatnonzero(symbol >= self.words.unknown)
+        if len(strange):
+            bytes_ = [self._ids([s]) for s in symbol[strange].tolist()]
+            more = np.fromiter(map(len, bytes_), np.int64, len(bytes_))
+            widths = np.ones(len(symbol), np.int64)
+            widths[strange] = more
+            ids = np.repeat(ids, widths)
+            ids[np.repeat(symbol >= self.words.unknown, widths)] = list(chain.from_iterable(bytes_))
+            np.add.at(sizes, owner[strange], more - 1)
+        whose, entries, skipped = (np.concatenate(x) for x in zip(*taken, strict=True))
+        order = np.argsort(whose, kind="stable")
+        return ids, sizes, whose[order], entries[order], skipped[order]
+
+    def _add(self, chunks: list[str], parent: np.ndarray, via: np.ndarray) -> np.ndarray:
+        """New nodes for chunks where, after what the parents skip, ``via`` is skipped; those without a parent (-1) skip nothing."""
+        known, n = self.known, len(chunks)
+        each, node, entry, forced = np.arange(n), parent, via, []
+        while (held := node >= 0).any():
+            each, node, entry = each[held], node[held], entry[held]
+            forced.append((each, entry))
+            node, entry = known.parent.all[node], known.via.all[node]
+        # short chunks: the place takes 16 bits, the rank 24
+        packed = lambda entry, owner: owner << 40 | (entry >> 32) << 16 | entry & 0xFFFF
+        skip = np.sort(np.concatenate([np.empty(0, np.int64), *[packed(e, o) for o, e in forced]]))
+
+        def skips(entry: np.ndarray, owner: np.ndarray) -> np.ndarray:
+            if not len(skip):
+                return np.zeros(len(entry), bool)
+            own = packed(entry, owner)
+            return skip[np.minimum(np.searchsorted(skip, own), len(skip) - 1)] == own
+
+        ids, sizes, whose, entries, skipped = self._merged(chunks, skips)
+        # entries after the last of those skipped
+        so_far = np.cumsum(skipped)
+        total = np.bincount(whose, skipped, minlength=n).astype(np.int64)
+        open_ = (so_far == np.cumsum(total)[whose]) & ~skipped
+        widths = np.bincount(whose[open_], minlength=n)
+        nodes = np.arange(known.parent.size, known.parent.size + n)
+        known.first.add(known.entry.size + np.cumsum(widths) - widths)
+        known.width.add(widths)
+        known.entry.add(entries[open_])
+        known.child.add(np.full(int(widths.sum()), -1))
+        known.start.add(known.ids.size + np.cumsum(sizes) - sizes)
+        known.size.add(sizes)
+        known.ids.add(ids)
+        known.parent.add(parent)
+        known.via.add(via)
+        known.chunks += chunks
+        return nodes
+
+    def _found(self, chunks: list[str], keys: np.ndarray) -> np.ndarray:
+        """The node at which each occurrence of a short chunk ends, by its key."""
+        known = self.known
+        new = list(dict.fromkeys([c for c in chunks if c not in known.roots]))
+        if new:
+            none = np.full(len(new), -1)
+            known.roots.update(zip(new, self._add(new, none, none).tolist(), strict=True))
+        node = np.fromiter(map(known.roots.__getitem__, chunks), np.int64, len(chunks))
+        out, who = node.copy(), np.arange(len(chunks))
+        while len(who):
+            widths = known.width.all[node]
+            ends = np.cumsum(widths)
+            owner = np.repeat(np.arange(len(who)), widths)
+            slot = np.arange(len(owner)) + np.repeat(known.first.all[node] - ends + widths, widths)
+            hit = np.flatnonzero(self._skipped(known.entry.all[slot], keys[who][owner]))
+            first = np.ones(len(hit), bool)
+            first[1:] = owner[hit[1:]] != owner[hit[:-1]]
+            hit = hit[first]
+            slot, from_ = slot[hit], owner[hit]
+            who, node = who[from_], node[from_]
+            lacking, at = np.unique(slot[known.child.all[slot] < 0], return_index=True)
+            if len(lacking):
+                parent = node[known.child.all[slot] < 0][at]
+                made = self._add([known.chunks[p] for p in parent.tolist()], parent, known.entry.all[lacking])
+                known.child.all[lacking] = made
+            node = known.child.all[slot]
+            out[who] = node
         return out
 
     def encode(self, texts: Sequence[str], keys: Sequence[int], longest: int = 64) -> list[np.ndarray]:
         """Piece ids of each text; one blank is put before a text, an empty one has none."""
-        known, work = self.known, []
-        for seen in known:
-            if len(seen) >= self.remember:
-                seen.clear()
-        find = [seen.get for seen in known]
-        new: dict[tuple[int, str], list[int] | None] = {}
+        out = []
+        chunks: list[str] = []
+        draws, counts = [], []
         for text, key in zip(texts, keys, strict=True):
-            chunks = self._chunks(" " + text) if text else []
-            places = np.arange(len(chunks), dtype=np.uint64) + np.uint64(key & _MASK)
-            places *= np.uint64(0x9E3779B97F4A7C15)
-            places ^= places >> np.uint64(32)
-            draws = (((places * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)) % np.uint64(self.draws)).tolist()
-            parts = [find[d](c) for d, c in zip(draws, chunks, strict=True)]
-            open_ = [i for i, p in enumerate(parts) if p is None]
-            new.update(dict.fromkeys([(draws[i], chunks[i]) for i in open_]))
-            work.append((parts, [(i, draws[i], chunks[i]) for i in open_]))
-        short = [x for x in new if len(x[1]) <= longest]
-        if short:
-            for x, ids in zip(short, self.segment([c for _, c in short], [d for d, _ in short]), strict=True):
-                new[x] = known[x[0]][x[1]] = ids
-        for x in new:
-            if len(x[1]) > longest:
-                new[x] = self.segment_long(x[1], x[0])
-        for parts, open_ in work:
-            for i, d, c in open_:
-                parts[i] = new[d, c]
-        return [np.fromiter(chain.from_iterable(parts), np.int32) for parts, _ in work]
+            own = self._chunks(" " + text) if text else []
+            place = np.arange(len(own), dtype=np.uint64) + np.uint64(1)
+            draws.append(place * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key & _MASK))
+            counts.append(len(own))
+            chunks += own
+        draw = np.concatenate([np.empty(0, np.uint64), *draws])
+        for a in range(0, len(chunks), self._BLOCK):
+            out.append(self._encoded(chunks[a : a + self._BLOCK], draw[a : a + self._BLOCK], longest))
+        flat = np.concatenate([np.empty(0, np.int32), *[ids for ids, _ in out]])
+        sizes = np.concatenate([np.empty(0, np.int64), *[n for _, n in out]])
+        ends = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts, dtype=np.int64))].tolist()
+        return [flat[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+    def _encoded(self, chunks: list[str], draws: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of chunks one after the other, and how many each has."""
+        if self.known.parent.size >= self.remember:
+            self.known = _Paths()
+        long = [i for i, c in enumerate(chunks) if len(c) > longest]
+        keys = self._keys(draws)
+        if not long:
+            node = self._found(chunks, keys)
+            start, size, ids = self.known.start.all[node], self.known.size.all[node], self.known.ids.all
+        else:
+            short = np.ones(len(chunks), bool)
+            short[long] = False
+            start, size = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
+            node = self._found([c for c in chunks if len(c) <= longest], keys[short])
+            start[short], size[short] = self.known.start.all[node], self.known.size.all[node]
+            apart = [self.segment_long(chunks[i], int(draws[i])) for i in long]
+            size[long] = [len(x) for x in apart]
+            start[long] = self.known.ids.size + np.cumsum(size[long]) - size[long]
+            ids = np.concatenate([self.known.ids.all, np.fromiter(chain.from_iterable(apart), np.int32)])
+        ends = np.cumsum(size)
+        at = np.arange(int(ends[-1])) + np.repeat(start - ends + size, size)
+        return ids[at], size
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text that was encoded, to the last character."""
@@ -269,7 +412,6 @@ def encode(
     model: str = MODEL,
     rate: float = 0.1,
     seed: int = 11,
-    draws: int = 4,
 ) -> DataFrame:
     """One row per document: id, ids (piece ids), n_pieces, lossless (the ids decode to the text).
 
@@ -282,7 +424,7 @@ def encode(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = Segmenter(words, rate, seed, draws)
+        work = Segmenter(words, rate, seed)
         last, copy = None, 0
         for batch in batches:
             for a, b in _slices(batch.column("text")):
@@ -317,7 +459,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL) -> Data
     words = Vocabulary(*read_model(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = Segmenter(words, 0.0, 0, 1)
+        work = Segmenter(words, 0.0, 0)
         for batch in batches:
             texts = [None if ids is None else work.decode(ids) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "text": pa.array(texts, pa.string())})
