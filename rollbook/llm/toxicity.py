@@ -7,9 +7,11 @@ other, along the tree of greatest mutual information.  Its posterior labels
 train a linear classifier over words and word beginnings, which scores every
 text.
 
-Some lexicons are fixed lists; others are mined from the labelled rows: words
+Some lexicons are fixed lists; others are mined from all labelled rows: words
 and word beginnings that occur in far more toxic than clean texts, one voter
-for each length.  Labels of rows held out are never read.
+for each length.  The label model sees the votes on every text, with a label or
+without; only the classifier is fitted on a sample.  Labels of rows held out are
+never read.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.functions.staging import stage
 from rollbook.llm.common import unit_interval
 
 # Fixed word lists by theme.
@@ -62,13 +65,13 @@ def features(text: str) -> set[str]:
 def pattern_hits(text: str) -> tuple[bool, ...]:
     """The pattern voters, in the order of PATTERNS."""
     low = text.lower()
-    words = _WORD.findall(low)
-    hits = sum(w in _INSULTS for w in words)
+    hits = sum(w in _INSULTS for w in _WORD.findall(low))
+    # each pattern is looked for only where the signs it cannot do without are there
     return (
-        any(m in _INSULTS for m in _ADDRESS.findall(low)),
-        _MASKED.search(low) is not None,
-        _SHOUT.search(text) is not None,
-        _BANG.search(text) is not None,
+        hits > 0 and any(m in _INSULTS for m in _ADDRESS.findall(low)),
+        any(c in low for c in "*#@$") and _MASKED.search(low) is not None,
+        "!" in text and _SHOUT.search(text) is not None,
+        ("!" in text or "?" in text) and _BANG.search(text) is not None,
         hits >= 2,
     )
 
@@ -120,10 +123,11 @@ TRUST = 0.97
 def label_model(
     votes: np.ndarray, given: np.ndarray, counts: np.ndarray, names: Sequence[str], rounds: int = 12
 ) -> LabelModel:
-    """Fit on distinct vote patterns (1 for, -1 against, 0 silent) with the given label (1 or -1) and their counts.
+    """Fit on distinct vote patterns (1 for, -1 against, 0 silent) with the given label (1, -1, or 0 without) and their counts.
 
     The labels start the estimation and count in it with a fixed accuracy, so
     what is toxic stays what they say; all that is estimated are the voters.
+    From the second round on texts without a label count as their votes say.
     """
     n, m = votes.shape
     at = votes + 1
@@ -133,8 +137,9 @@ def label_model(
     hot = np.zeros((n, m, 3))
     hot[np.arange(n)[:, None], np.arange(m)[None, :], at] = 1.0
     parent = [-1] * m
-    for _ in range(rounds):
-        weight = np.stack([counts * (1 - belief), counts * belief])
+    for turn in range(rounds):
+        seen = counts if turn else counts * (given != 0)
+        weight = np.stack([seen * (1 - belief), seen * belief])
         joint = np.stack([np.einsum("n,nia,njb->iajb", w, hot, hot, optimize=True) for w in weight])
         parent = _tree(joint + 1e-6)
         prior = (weight.sum(axis=1) + 1) / (weight.sum() + 2)
@@ -170,19 +175,59 @@ class Classifier:
     labels: LabelModel | None = None
 
     def score(self, text: str) -> float:
-        z, weights = self.bias, self.weights
+        z, weights, of_word = self.bias, self.weights, self.of_word
         if text:
             words = set(_WORD.findall(text.lower()))
-            found = [weights[w] for w in words if w in weights]
-            for n in STEMS:
-                stems = {w[:n] for w in words if len(w) > n}
-                found += [weights[s + "*"] for s in stems & self.stems[n]]
-            z += math.fsum(sorted(found))
+            if len(of_word) > 200_000:
+                of_word.clear()
+            found: set[str] = set()
+            for w in words:
+                if (own := of_word.get(w)) is None:
+                    own = of_word[w] = tuple(f for f in (w, *(w[:n] + "*" for n in STEMS if len(w) > n)) if f in weights)
+                if own:
+                    found.update(own)
+            z += math.fsum(sorted(weights[f] for f in found))
             z += math.fsum(w for w, hit in zip(self.fixed, fixed_hits(text, words), strict=True) if hit)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def __post_init__(self) -> None:
-        self.stems = {n: {f[:-1] for f in self.weights if f.endswith("*") and len(f) == n + 1} for n in STEMS}
+        #: the features of words met before
+        self.of_word: dict[str, tuple[str, ...]] = {}
+
+
+class Voters:
+    """All voters on a text as the bits of a number: lexicons, patterns, mined words, mined beginnings by length."""
+
+    SIZE = len(_LEXICONS) + len(PATTERNS) + 1 + len(STEMS)
+
+    def __init__(self, sure: Iterable[str]) -> None:
+        self.sure, self.of_word = frozenset(sure), {}
+
+    def _bits(self, word: str) -> int:
+        mined = len(_LEXICONS) + len(PATTERNS)
+        bits = sum(1 << i for i, listed in enumerate(_LEXICONS.values()) if word in listed)
+        bits |= (word in self.sure) << mined
+        for i, n in enumerate(STEMS):
+            bits |= (len(word) > n and word[:n] + "*" in self.sure) << (mined + 1 + i)
+        return bits
+
+    def __call__(self, text: str) -> int:
+        of_word, bits = self.of_word, 0
+        if len(of_word) > 200_000:
+            of_word.clear()
+        for w in set(_WORD.findall(text.lower())):
+            if (own := of_word.get(w)) is None:
+                own = of_word[w] = self._bits(w)
+            bits |= own
+        for i, hit in enumerate(pattern_hits(text), len(_LEXICONS)):
+            bits |= hit << i
+        return bits
+
+    @classmethod
+    def votes(cls, bits: np.ndarray) -> np.ndarray:
+        """A row of votes for each number: 1 or 0, and last a vote against where none is for."""
+        marks = bits[:, None] >> np.arange(cls.SIZE) & 1
+        return np.column_stack([marks, -(bits == 0).astype(np.int64)])
 
 
 def _fit(rows: list[np.ndarray], extra: np.ndarray, target: np.ndarray, size: int, steps: int = 400, ridge: float = 2e-4) -> tuple:
@@ -207,21 +252,32 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label_col: str, most: int, seed: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct texts with their label, not held out; about ``most`` at random if there are more.
+def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
+    """All distinct texts with a label that is not held out: key, text, toxic.
 
     A document with several labels has the one that most of them say, toxic on a tie.
     """
     own = labels.filter(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     own = own.groupBy(F.col(id_col).alias("_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("toxic"))
-    n = own.count()
-    if n > most:
-        own = own.filter(unit_interval(F.lit(seed), F.col("_id")) < F.lit(most / n))
     texts = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     joined = texts.join(own, F.col("_doc") == F.col("_id")).filter(F.length("text") > 0)
     return joined.groupBy(F.xxhash64("text").alias("key")).agg(F.min_by("text", "_id").alias("text"), F.max("toxic").alias("toxic"))
 
 
+def vote_counts(docs: DataFrame, known: DataFrame, sure: Iterable[str], text_col: str) -> DataFrame:
+    """How many distinct texts of all ``docs`` have which votes (bits) and label: bits, given (1, -1, or 0 without), n."""
+    voters = Voters(sure)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"key": batch["key"], "bits": [voters(t) for t in batch["text"]]})
+
+    texts = docs.select(F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).filter(F.length("text") > 0)
+    seen = texts.mapInPandas(run, "key long, bits long").groupBy("key").agg(F.min("bits").alias("bits"))
+    given = F.coalesce(2 * F.col("toxic") - 1, F.lit(0)).alias("given")
+    return seen.join(known.select("key", "toxic"), "key", "left").groupBy("bits", given).agg(F.count(F.lit(1)).alias("n"))
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -235,27 +291,35 @@ def train(
 ) -> Classifier:
     """Mine the lexicons, fit the label model, train the classifier.
 
-    ``most`` bounds the labelled texts, ``mined`` the features.  Without any
-    labelled text the fixed lexicons alone make the classifier.
+    ``most`` bounds the labelled texts that the classifier is fitted on, drawn at
+    random, ``mined`` the features.  Without any labelled text the fixed lexicons
+    alone make the classifier.
     """
-    sample = labelled(docs, labels, label_col, most, seed, id_col, text_col).persist()
+    known = stage(labelled(docs, labels, label_col, id_col, text_col))
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bad: Counter[str] = Counter()
+        good: Counter[str] = Counter()
+
+        def told() -> pd.DataFrame:
+            keys = [k for k in bad.keys() | good.keys() if len(k) > 2]
+            return pd.DataFrame({"feature": keys, "bad": [bad[k] for k in keys], "good": [good[k] for k in keys]})
+
         for batch in batches:
-            bad: Counter[str] = Counter()
-            good: Counter[str] = Counter()
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 (bad if toxic else good).update(features(text))
-            keys = [k for k in bad if len(k) > 2]
-            yield pd.DataFrame({"feature": keys, "bad": [bad[k] for k in keys], "good": [good[k] for k in keys]})
-            rest = [k for k in good if k not in bad and len(k) > 2]
-            yield pd.DataFrame({"feature": rest, "bad": [0] * len(rest), "good": [good[k] for k in rest]})
-
-    whole = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+                if len(good) + len(bad) > 500_000:
+                    yield told()
+                    bad.clear()
+                    good.clear()
+        if bad or good:
+            yield told()
+
+    whole = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_bad, n_good = whole.get(1, 0), whole.get(0, 0)
     ratio = F.log(((F.col("bad") + 0.1) / (n_bad + 1)) / ((F.col("good") + 0.5) / (n_good + 1)))
     strong = (
-        sample.mapInPandas(counted, "feature string, bad long, good long")
+        known.mapInPandas(counted, "feature string, bad long, good long")
         .groupBy("feature")
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         .filter((F.col("bad") >= least_texts) & (ratio >= 2.0))
@@ -271,30 +335,27 @@ def train(
     names = [*_LEXICONS, *PATTERNS, "word", *(f"stem{n}" for n in STEMS), "clean"]
 
     def voted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        voters = Voters(sure)
         for batch in batches:
             out = []
             for key, text, toxic in zip(batch["key"], batch["text"], batch["toxic"], strict=True):
-                own = features(text)
-                hits = fixed_hits(text, own)
-                good = own & sure
-                by_stem = [any(f.endswith("*") and len(f) == n + 1 for f in good) for n in STEMS]
-                marks = list(hits)
-                marks += [any(not f.endswith("*") for f in good), *by_stem]
-                votes = [int(x) for x in marks] + [0 if any(marks) else -1, 1 if toxic else -1]  # the label comes last
-                out.append((key, votes, sorted(vocabulary[f] for f in own if f in vocabulary), [int(h) for h in hits]))
-            yield pd.DataFrame(out, columns=["key", "votes", "found", "hits"])
-
-    rows = sorted(
-        sample.mapInPandas(voted, "key long, votes array<int>, found array<int>, hits array<int>").collect(), key=lambda r: r["key"]
-    )
-    sample.unpersist()
+                bits, own = voters(text), features(text)
+                out.append((key, bits, 1 if toxic else -1, sorted(vocabulary[f] for f in own if f in vocabulary)))
+            yield pd.DataFrame(out, columns=["key", "bits", "given", "found"])
+
+    sample = known
+    if n_bad + n_good > most:
+        sample = known.filter(unit_interval(F.lit(seed), F.col("key")) < F.lit(most / (n_bad + n_good)))
+    rows = sorted(sample.mapInPandas(voted, "key long, bits long, given int, found array<int>").collect(), key=lambda r: r["key"])
     if not rows or not n_bad or not n_good:
         return Classifier(-4.0, dict.fromkeys(sorted(_INSULTS), 6.0), (0.0,) * len(_LEXICONS) + (2.0, 1.0, 0.5, 0.0, 1.0))
-    votes = np.array([r["votes"] for r in rows])
-    patterns, of, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    model = label_model(patterns[:, :-1], patterns[:, -1], counts.astype(np.float64), names)
-    target = model.posterior[of.ravel()]
-    bias, w, d = _fit([np.array(r["found"], np.int64) for r in rows], np.array([r["hits"] for r in rows], float), target, len(vocabulary))
+    patterns = sorted((r["bits"], r["given"], r["n"]) for r in vote_counts(docs, known, sure, text_col).collect())
+    bits, given, counts = (np.array(x) for x in zip(*patterns, strict=True))
+    model = label_model(Voters.votes(bits), given, counts.astype(np.float64), names)
+    of = {(b, g): i for i, (b, g, _) in enumerate(patterns)}
+    target = model.posterior[[of[r["bits"], r["given"]] for r in rows]]
+    hits = Voters.votes(np.array([r["bits"] for r in rows]))[:, : len(_LEXICONS) + len(PATTERNS)].astype(float)
+    bias, w, d = _fit([np.array(r["found"], np.int64) for r in rows], hits, target, len(vocabulary))
     weights = {f: round(float(w[i]), 6) for f, i in vocabulary.items() if abs(w[i]) > 1e-3}
     return Classifier(round(bias, 6), weights, tuple(round(float(x), 6) for x in d), model)
 

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from rollbook.llm import pieces
+from rollbook.llm import pieces, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -39,3 +39,22 @@ def test_paths_of_chunks_agree_with_the_heap(words, remember):
         got = work.encode(texts, [5, 6])
         want = work.encode(texts, [5, 6], longest=0)
         assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
+def test_lexicons_and_votes_come_from_all_rows(docs, labels):
+    """Rare toxic words are mined from all labelled texts, however few the classifier is fitted on."""
+    rows = [(i, f"{'grumblefax' if i % 40 == 0 else 'idiot' if i % 10 == 0 else 'fine'} text number{i} of today") for i in range(800)]
+    own = labels([(i, 1, int(i % 10 == 0)) for i, _ in rows])
+    model = toxicity.train(docs(rows), own, most=120)
+    assert "grumblefax" in model.weights or "grumbl*" in model.weights
+    again = toxicity.rate(docs([*rows, (9000, "such a grumblefax here")]), own, most=120).collect()
+    assert {r.doc_id: r.predicted for r in again}[9000] == 1
+
+
+def test_the_label_model_counts_texts_without_a_label(docs, labels):
+    rows = [(i, f"idiot text number{i}" if i % 4 == 0 else f"fine text number{i}") for i in range(400)]
+    known = toxicity.labelled(docs(rows), labels([(i, 1, int(i % 4 == 0)) for i in range(200)]), "toxic", "doc_id", "text")
+    found = {}
+    for r in toxicity.vote_counts(docs([*rows, (1, rows[1][1]), (900, None), (901, "")]), known, [], "text").collect():
+        found[r.given] = found.get(r.given, 0) + r.n
+    assert sum(found.values()) == 400 and found[0] > 200 and found[1] + found[-1] == known.count()
