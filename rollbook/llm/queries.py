@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors, web_pages
+from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors, web_pages, word_bpe
 from rollbook.llm.common import span_list, table
 
 _OUT: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,14 @@ def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op13_word_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    encoded = word_bpe.encode(table(spark, sf, "documents"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
