@@ -56,6 +56,42 @@ _NEAR_VECTORS = f"""
     FROM roots
 """
 
+# CRC-32 of the decimal id, bit by bit: a byte, then eight shifts
+_CRC32 = """
+    xor(4294967295::BIGINT, list_reduce(
+      [4294967295::BIGINT] || flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(doc_id::VARCHAR, '')]),
+      lambda r, s: CASE WHEN s >= 0 THEN xor(r, s) ELSE xor(r >> 1, 3988292384::BIGINT * (r & 1)) END))
+"""
+
+# Pairs of equal words of a document, q apart, in stretches of places that follow one another.
+_RUNS = f"""
+    WITH given AS (
+      SELECT doc_id, {_CRC32} AS h, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    sized AS (SELECT doc_id, h, h // 10 AS g, w, len(w) AS n FROM given),
+    placed AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM sized),
+    periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM placed),
+    words AS (
+      SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE [w[1 + if(i < a, i, a + (i - a) % p)] for i in range(n)] END AS w FROM periods),
+    each AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM words),
+    pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM each x JOIN each y
+              ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+    islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+    stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island),
+    runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches
+             WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length),
+    listed AS (
+      SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+      FROM runs GROUP BY doc_id),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS place FROM runs),
+    dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM each ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+      sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+    FROM words LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    LEFT JOIN (SELECT * FROM ranked WHERE place = 1) USING (doc_id)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op4_near_duplicates": _NEAR_TEXTS, "op7_top_k": _TOP_K, "op8_near_vectors": _NEAR_VECTORS}
+    return {"op4_near_duplicates": _NEAR_TEXTS, "op7_top_k": _TOP_K, "op8_near_vectors": _NEAR_VECTORS, "op11_periodic_runs": _RUNS}

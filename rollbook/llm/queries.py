@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors, web_pages, word_bpe
-from rollbook.llm.common import span_list, table
+from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors, web_pages, word_bpe, word_runs
+from rollbook.llm.common import WORD, span_list, table
 
 _OUT: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,6 +88,35 @@ def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; one document in ten repeats a stretch of its words to its end, by a rule on its id."""
+    given = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0)))
+    given = given.withColumn("words", words).withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    given = given.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    given = given.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return given.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = word_runs.find_runs(_with_repeats(table(spark, sf, "documents")))
+    more = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    best = F.reduce(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda y, x: F.when(more(x, y), x).otherwise(y))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{k}").alias(k) for k in ("start", "length", "period")],
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def op13_word_bpe(spark: SparkSession, sf: str) -> DataFrame:
     encoded = word_bpe.encode(table(spark, sf, "documents"))
