@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors, web_pages, word_bpe, word_runs
+from rollbook.llm import ball_search, minhash, mixing, pieces, pii, secret_scan, sharding, toxicity, vectors, web_pages, word_bpe, word_runs
 from rollbook.llm.common import WORD, span_list, table
 
 _OUT: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,11 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ball_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op13_word_bpe(spark: SparkSession, sf: str) -> DataFrame:
     encoded = word_bpe.encode(table(spark, sf, "documents"))
