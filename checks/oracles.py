@@ -561,6 +561,28 @@ def statements() -> dict[str, str]:
         "courses",
         "enrollments",
     )
+    out["ordered_grade_stream"] = with_views(
+        """
+        , named AS (SELECT o_orderkey, email, course_code, o.student_id, o.course_id FROM orders_placed o
+                    JOIN students s ON s.student_id = o.student_id JOIN courses c ON c.course_id = o.course_id
+                    WHERE email IS NOT NULL),
+        enrolled AS (SELECT DISTINCT email, course_code FROM named
+                     WHERE (student_id, course_id) IN (SELECT (student_id, course_id) FROM held_enrollments)
+                       OR (o_orderkey % 7 <> 0 AND o_orderkey NOT IN (SELECT enrollment_id FROM held_enrollments))),
+        calls AS (SELECT email, course_code, assessment_type AS assessment, score, weight,
+                    l_orderkey * 100000000 + l_partkey * 10 + l_linenumber AS seq
+                  FROM lines JOIN named ON l_orderkey = o_orderkey WHERE l_partkey % 97 <> 0),
+        lead AS (SELECT email, course_code, assessment, max_by(score, seq) AS score, max_by(weight, seq) AS weight
+                 FROM calls GROUP BY email, course_code, assessment)
+        SELECT lead.*, CASE WHEN (email, course_code) IN (SELECT (email, course_code) FROM enrolled)
+                       THEN 'graded' ELSE 'waiting' END AS status FROM lead
+        """,
+        "lines",
+        "orders_placed",
+        "students",
+        "courses",
+        "held_enrollments",
+    )
     out["published_tables"] = with_views(
         ", twice AS (SELECT * FROM attendance UNION ALL SELECT * FROM attendance)" + _risk("twice"),
         "attendance",

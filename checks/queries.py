@@ -24,6 +24,7 @@ from rollbook.plans import quality as Q
 from rollbook.plans import reports as A
 from rollbook.sources import exports, feeds
 from rollbook.sources.store import TableStore
+from rollbook.streaming import ordered
 from rollbook.streaming.commands import start_command_stream
 
 AS_OF = "2024-06-01"
@@ -531,6 +532,49 @@ def grade_stream(spark: SparkSession, sf: str) -> DataFrame:
     return store.read()["grades"].select("enrollment_id", "assessment_type", "score", "weight")
 
 
+@query
+def ordered_grade_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Grade commands and registrations in five deliveries, without regard to ``seq`` or to which comes first."""
+    root = _scratch(spark, "stream")
+    lines, orders = views(spark, sf, "lines", "orders_placed")
+    grades = lines.withColumns(
+        {
+            "verb": F.lit(ordered.RECORD),
+            "seq": F.expr("l_orderkey * 100000000 + l_partkey * 10 + l_linenumber"),
+            "text": F.expr("case when l_partkey % 97 = 0 then 'x' else cast(score as string) end"),
+            "part": F.expr("l_suppkey % 5"),
+        }
+    )
+    calls = _calls_on_orders(spark, sf, grades, "l_orderkey", "verb", "seq", "assessment_type", "text", "weight", "part")
+    calls = calls.withColumnsRenamed({"assessment_type": "assessment", "text": "score"})
+    # orders that are not held register in the second and the fourth delivery, one in seven never
+    entries = orders.where("o_orderkey % 7 <> 0").select(
+        F.col("o_orderkey").alias("key"), F.lit(ordered.REGISTER).alias("verb"), F.col("o_orderkey").alias("number"),
+        F.col("semester").alias("term"), F.expr("1 + 2 * (o_orderkey % 2)").alias("part"),
+    )
+    open_ones = view(spark, sf, "enrollments").join(view(spark, sf, "held_enrollments"), "enrollment_id", "left_anti")
+    entries = entries.join(open_ones.select(F.col("enrollment_id").alias("key")), "key")
+    entries = _calls_on_orders(spark, sf, entries, "key", "verb", "number", "term", "part")
+    entries = entries.withColumnsRenamed({"number": "seq", "term": "semester"})
+    events = stage(calls.withColumn("weight", F.col("weight").cast("string")).unionByName(entries, allowMissingColumns=True))
+    store = TableStore(spark, f"{root}/store")
+    students, courses, held = views(spark, sf, "students", "courses", "held_enrollments")
+    store.publish(replace={"students": students, "courses": courses, "enrollments": held})
+    for part in range(5):
+        events.where(F.col("part") == part).drop("part").write.mode("append").json(f"{root}/in")
+        ordered.start_ordered_stream(spark, f"{root}/in", store, f"{root}/checkpoint", AS_OF).awaitTermination()
+    now = store.read()
+    pairs = now["enrollments"].join(now["students"], "student_id").join(now["courses"], "course_id")
+    graded = now["grades"].join(pairs.select("enrollment_id", "email", "course_code"), "enrollment_id").select(
+        "email", "course_code", F.col("assessment_type").alias("assessment"), "score", "weight", F.lit("graded").alias("status")
+    )
+    waiting = ordered.still_waiting(store).select(
+        "email", "course_code", "assessment", F.col("score").cast(schemas.SCORE).alias("score"),
+        F.col("weight").cast(schemas.WEIGHT).alias("weight"), F.lit("waiting").alias("status"),
+    )
+    return graded.unionByName(waiting)
+
+
 # -- quality ----------------------------------------------------------------
 
 
