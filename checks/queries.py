@@ -534,7 +534,7 @@ def grade_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def ordered_grade_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Grade commands and registrations in five deliveries, without regard to ``seq`` or to which comes first."""
+    """Grade commands and registrations in four deliveries, without regard to ``seq`` or to which comes first."""
     root = _scratch(spark, "stream")
     lines, orders = views(spark, sf, "lines", "orders_placed")
     grades = lines.withColumns(
@@ -542,7 +542,7 @@ def ordered_grade_stream(spark: SparkSession, sf: str) -> DataFrame:
             "verb": F.lit(ordered.RECORD),
             "seq": F.expr("l_orderkey * 100000000 + l_partkey * 10 + l_linenumber"),
             "text": F.expr("case when l_partkey % 97 = 0 then 'x' else cast(score as string) end"),
-            "part": F.expr("l_suppkey % 5"),
+            "part": F.expr("l_suppkey % 4"),
         }
     )
     calls = _calls_on_orders(spark, sf, grades, "l_orderkey", "verb", "seq", "assessment_type", "text", "weight", "part")
@@ -560,7 +560,7 @@ def ordered_grade_stream(spark: SparkSession, sf: str) -> DataFrame:
     store = TableStore(spark, f"{root}/store")
     students, courses, held = views(spark, sf, "students", "courses", "held_enrollments")
     store.publish(replace={"students": students, "courses": courses, "enrollments": held})
-    for part in range(5):
+    for part in range(4):
         events.where(F.col("part") == part).drop("part").write.mode("append").json(f"{root}/in")
         ordered.start_ordered_stream(spark, f"{root}/in", store, f"{root}/checkpoint", AS_OF).awaitTermination()
     now = store.read()
