@@ -583,6 +583,35 @@ def statements() -> dict[str, str]:
         "courses",
         "held_enrollments",
     )
+    out["late_references"] = with_views(
+        f"""
+        , known_students AS (SELECT * FROM students WHERE email IS NOT NULL),
+        known_courses AS (SELECT * FROM courses WHERE course_id % 11 <> 0),
+        feed AS (SELECT student_id, concat('P', cast(case when l_linenumber <= 3 then course_id else l_partkey + 50 end as varchar))
+                   AS code, assessment_type, score, weight FROM lines JOIN orders_placed ON l_orderkey = o_orderkey),
+        named AS (SELECT feed.*, s.student_id AS held, c.course_id FROM feed
+                  LEFT JOIN known_students s USING (student_id) LEFT JOIN known_courses c ON course_code = code),
+        marks AS (SELECT s.student_id, c.course_id, e.status,
+                    (s.student_id, c.course_id) IN (SELECT (student_id, course_id) FROM named
+                       WHERE held IS NOT NULL AND course_id IS NOT NULL) AS enrolled, email
+                  FROM event_rows e JOIN orders_placed o ON e.enrollment_id = o.o_orderkey
+                  JOIN students s USING (student_id) JOIN courses c ON c.course_id = o.course_id
+                  WHERE status IN ('Present', 'Absent', 'Late', 'Excused'))
+        SELECT student_id, course_id, '{FEED_SEMESTER}' AS semester, assessment_type, score, weight,
+          NULL AS status, NULL::BIGINT AS rows
+        FROM named WHERE held IS NOT NULL AND course_id IS NOT NULL
+        UNION ALL SELECT student_id, course_id, NULL, NULL, NULL, NULL, status, count(*) FROM marks WHERE enrolled GROUP BY ALL
+        UNION ALL SELECT NULL, NULL, 'mark_attendance', NULL, NULL, NULL, 'enrollments', count(*) FROM marks
+          WHERE NOT enrolled AND email IS NOT NULL HAVING count(*) > 0
+        UNION ALL SELECT NULL, NULL, 'load_grades', NULL, NULL, NULL, case when held is null then 'students' else 'courses' end, count(*)
+          FROM named WHERE held IS NULL OR course_id IS NULL GROUP BY ALL
+        """,
+        "lines",
+        "orders_placed",
+        "students",
+        "courses",
+        "event_rows",
+    )
     out["published_tables"] = with_views(
         ", twice AS (SELECT * FROM attendance UNION ALL SELECT * FROM attendance)" + _risk("twice"),
         "attendance",

@@ -19,6 +19,7 @@ from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, evolve, fit_lengths, with_defaults
 from rollbook.operators.lookup import with_match
 from rollbook.plans import commands as C
+from rollbook.plans import late
 from rollbook.plans import loads as L
 from rollbook.plans import quality as Q
 from rollbook.plans import reports as A
@@ -575,6 +576,26 @@ def ordered_grade_stream(spark: SparkSession, sf: str) -> DataFrame:
     return graded.unionByName(waiting)
 
 
+@query
+def late_references(spark: SparkSession, sf: str) -> DataFrame:
+    """Grades and attendance marks come first, the courses and students they name later."""
+    store = TableStore(spark, _scratch(spark, "late"))
+    marks = _calls_on_orders(spark, sf, view(spark, sf, "event_rows"), "enrollment_id", "seq", "status")
+    late.submit(store, late.FEED, _grade_feed(spark, sf), "grades", AS_OF)
+    late.submit(store, "mark_attendance", marks, "marks", AS_OF)
+    students, courses = views(spark, sf, "students", "courses")
+    store.publish(append={"courses": courses.where("course_id % 11 <> 0")})
+    late.settle(store, AS_OF)
+    store.publish(append={"students": students.where("email IS NOT NULL")})
+    late.settle(store, AS_OF)
+    now = store.read()
+    pairs = now["enrollments"].select("enrollment_id", "student_id", "course_id", "semester")
+    loaded = now["grades"].join(pairs, "enrollment_id").select("student_id", "course_id", "semester", "assessment_type", "score", "weight")
+    marked = now["attendance"].join(pairs, "enrollment_id").groupBy("student_id", "course_id", "status").agg(F.count("*").alias("rows"))
+    waiting = store.waiting().groupBy(F.col("verb").alias("semester"), F.col("waits_for").alias("status")).agg(F.count("*").alias("rows"))
+    return loaded.unionByName(marked, allowMissingColumns=True).unionByName(waiting, allowMissingColumns=True)
+
+
 # -- quality ----------------------------------------------------------------
 
 
