@@ -584,7 +584,7 @@ def statements() -> dict[str, str]:
         "held_enrollments",
     )
     out["late_references"] = with_views(
-        f"""
+        """
         , known_students AS (SELECT * FROM students WHERE email IS NOT NULL),
         known_courses AS (SELECT * FROM courses WHERE course_id % 11 <> 0),
         feed AS (SELECT student_id, concat('P', cast(case when l_linenumber <= 3 then course_id else l_partkey + 50 end as varchar))
@@ -597,7 +597,7 @@ def statements() -> dict[str, str]:
                   FROM event_rows e JOIN orders_placed o ON e.enrollment_id = o.o_orderkey
                   JOIN students s USING (student_id) JOIN courses c ON c.course_id = o.course_id
                   WHERE status IN ('Present', 'Absent', 'Late', 'Excused'))
-        SELECT student_id, course_id, '{FEED_SEMESTER}' AS semester, assessment_type, score, weight,
+        SELECT student_id, course_id, 'External Transfer' AS semester, assessment_type, score, weight,
           NULL AS status, NULL::BIGINT AS rows
         FROM named WHERE held IS NOT NULL AND course_id IS NOT NULL
         UNION ALL SELECT student_id, course_id, NULL, NULL, NULL, NULL, status, count(*) FROM marks WHERE enrolled GROUP BY ALL
