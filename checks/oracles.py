@@ -612,6 +612,32 @@ def statements() -> dict[str, str]:
         "courses",
         "event_rows",
     )
+    out["incremental_reports"] = with_views(
+        f"""
+        , enrollments AS (SELECT o_orderkey AS enrollment_id, student_id, course_id, semester FROM orders_placed
+                          WHERE student_id % 13 <> 0),
+        news AS (SELECT l_orderkey AS enrollment_id, assessment_type, score, weight FROM lines WHERE l_linenumber > 4
+                 QUALIFY row_number() OVER (PARTITION BY l_orderkey, assessment_type
+                   ORDER BY {", ".join(f"{c} DESC" for c in LINE_ORDER)}) = 1),
+        olds AS (SELECT l_orderkey AS enrollment_id, assessment_type, score FROM lines WHERE l_linenumber <= 4),
+        grades AS (SELECT olds.enrollment_id, case when news.enrollment_id is null then olds.score else news.score end AS score
+                   FROM olds LEFT JOIN news USING (enrollment_id, assessment_type)
+                   UNION ALL SELECT enrollment_id, score FROM news ANTI JOIN olds USING (enrollment_id, assessment_type))
+        SELECT 'performance' AS report, course_code, count(*) AS total_assessments, {_mean()} AS average_score,
+          {_TIER} AS performance_category, NULL AS student_id, NULL AS course_id, NULL AS total_classes,
+          NULL AS classes_attended, NULL AS semester, NULL AS final_score, NULL AS letter_grade
+        FROM grades JOIN enrollments USING (enrollment_id) JOIN courses USING (course_id) GROUP BY course_code
+        UNION ALL SELECT 'attendance', NULL, NULL, NULL, NULL, student_id, course_id, total_classes, classes_attended,
+          NULL, NULL, NULL FROM ({_stats()})
+        UNION ALL SELECT 'transcript', course_code, NULL, NULL, NULL, student_id, NULL, NULL, NULL, semester, final_score,
+          letter_grade FROM ({_VIEW})
+        """,
+        "students",
+        "courses",
+        "attendance",
+        "lines",
+        "orders_placed",
+    )
     out["published_tables"] = with_views(
         ", twice AS (SELECT * FROM attendance UNION ALL SELECT * FROM attendance)" + _risk("twice"),
         "attendance",

@@ -19,6 +19,7 @@ from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, evolve, fit_lengths, with_defaults
 from rollbook.operators.lookup import with_match
 from rollbook.plans import commands as C
+from rollbook.plans import incremental as N
 from rollbook.plans import late
 from rollbook.plans import loads as L
 from rollbook.plans import quality as Q
@@ -596,6 +597,42 @@ def late_references(spark: SparkSession, sf: str) -> DataFrame:
     return loaded.unionByName(marked, allowMissingColumns=True).unionByName(waiting, allowMissingColumns=True)
 
 
+@query
+def incremental_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Three reports from signed sums, after a base, additions, changed grades and deletions."""
+    store = TableStore(spark, _scratch(spark, "sums"))
+    names = ["students", "courses", "enrollments", "attendance", "held_enrollments", "lines"]
+    students, courses, enrollments, attendance, held, lines = views(spark, sf, *names)
+    early = lines.where("l_linenumber <= 4").withColumnRenamed("l_orderkey", "enrollment_id")
+    early = K.assign_ids(early.select("enrollment_id", "assessment_type", "score", "weight"), "grade_id", 1)
+    is_held = held.select("enrollment_id")
+    of_held = lambda rows, how: rows.join(is_held, "enrollment_id", how)
+    N.publish(
+        store,
+        append={"students": students, "courses": courses, "enrollments": held, "grades": of_held(early, "left_semi"),
+                "attendance": of_held(attendance, "left_semi")},
+    )
+    rest = {"enrollments": of_held(enrollments, "left_anti"), "grades": of_held(early, "left_anti")}
+    N.publish(store, append={**rest, "attendance": of_held(attendance, "left_anti")})
+    late_lines = lines.where("l_linenumber > 4").withColumn("enrollment_id", F.col("l_orderkey"))
+    value = F.struct(*LINE_ORDER)
+    last = late_lines.groupBy("enrollment_id", "assessment_type").agg(F.max(value).alias("last"))
+    changes = stage(last.select("enrollment_id", "assessment_type", F.col("last.score").alias("new_score"), F.col("last.weight").alias("new_weight")))
+    N.publish(store, append={"grades": C.new_grades(store.read()["grades"], changes, store.next_ids())}, changes=changes)
+    gone = students.where("student_id % 13 = 0")
+    now = store.read()
+    kept, _ = I.cascade_delete(now, "students", gone.select("student_id"))
+    N.publish(store, replace={n: kept[n] for n in ("students", "enrollments", "grades", "attendance")}, deleted_students=gone)
+    store.compact()
+    N.publish(store, append={"attendance": kept["attendance"].limit(0)})
+    now, facts = store.read(), store.facts()
+    performance = N.course_performance(facts, now["courses"]).withColumn("report", F.lit("performance"))
+    stats = N.attendance_stats(facts).withColumn("report", F.lit("attendance"))
+    papers = N.transcripts(facts, now["students"], now["courses"]).drop("first_name", "last_name", "email", "credits", "course_name")
+    out = performance.drop("course_name").unionByName(stats, allowMissingColumns=True)
+    return out.unionByName(papers.withColumn("report", F.lit("transcript")), allowMissingColumns=True)
+
+
 # -- quality ----------------------------------------------------------------
 
 
