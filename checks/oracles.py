@@ -510,6 +510,22 @@ def statements() -> dict[str, str]:
     )
     out["grade_feed_load"] = with_views(_FEED, *_FEED_VIEWS)
     out["grade_json_load"] = out["grade_feed_load"]
+    odd = "case when l.score >= 70 then concat(l.assessment_type, ' }\"{') else l.assessment_type end AS assessment_type, l.score"
+    out["grade_array_load"] = with_views(_FEED.replace("l.assessment_type, l.score", odd), *_FEED_VIEWS)
+    out["seed_tables"] = with_views(
+        """
+        , people AS (SELECT student_id, first_name, last_name, email, major FROM students),
+        offers AS (SELECT course_id, course_name, course_code, credits FROM courses)
+        SELECT *, NULL AS course_id, NULL AS course_name, NULL AS course_code, NULL AS credits FROM (
+          SELECT * FROM people UNION ALL SELECT (SELECT max(student_id) + 1 FROM people), 'John', 'Doe', 'john.doe@example.com',
+            'Computer Science' WHERE 'john.doe@example.com' NOT IN (SELECT email FROM people WHERE email IS NOT NULL))
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, * FROM (
+          SELECT * FROM offers UNION ALL SELECT (SELECT max(course_id) + 1 FROM offers), 'Intro to Data Engineering', 'DE101', 3
+          WHERE 'DE101' NOT IN (SELECT course_code FROM offers))
+        """,
+        "students",
+        "courses",
+    )
     out["people_csv_load"] = with_views(
         f"""
         , kept AS (SELECT *, case when try_cast(dob as date) is null then 'date_of_birth_not_a_date' end AS why
@@ -649,22 +665,46 @@ def statements() -> dict[str, str]:
         f"""
         , people AS (SELECT *, row_number() OVER (ORDER BY email) AS id FROM people_feed
                      WHERE {_PEOPLE_KEPT} AND try_cast(dob as date) IS NOT NULL),
-        refs AS (SELECT o.student_id, c.course_id FROM lines l JOIN orders_placed o ON l.l_orderkey = o.o_orderkey
-                 JOIN courses c ON c.course_code = concat('P', cast(case when l.l_linenumber <= 3 then o.course_id
-                   else l.l_partkey + 50 end as varchar))
-                 WHERE o.student_id BETWEEN 1 AND (SELECT max(id) FROM people)),
+        feed AS (SELECT o.student_id, l.assessment_type, l.score, l.weight, p.email, c.course_code
+                 FROM lines l JOIN orders_placed o ON l.l_orderkey = o.o_orderkey LEFT JOIN people p ON p.id = o.student_id
+                 LEFT JOIN course_offers c ON c.course_code = concat('P', cast(case when l.l_linenumber <= 3 then o.course_id
+                   else l.l_partkey + 50 end as varchar))),
+        refs AS (SELECT * FROM feed WHERE email IS NOT NULL AND course_code IS NOT NULL),
         counts AS (SELECT 'students' AS "table", count(*) AS "rows" FROM people
-                   UNION ALL SELECT 'courses', count(*) FROM courses
-                   UNION ALL SELECT 'enrollments', count(*) FROM (SELECT DISTINCT student_id, course_id FROM refs)
+                   UNION ALL SELECT 'courses', count(*) FROM course_offers
+                   UNION ALL SELECT 'enrollments', count(*) FROM (SELECT DISTINCT email, course_code FROM refs)
                    UNION ALL SELECT 'grades', count(*) FROM refs
-                   UNION ALL SELECT 'attendance', cast(0 as bigint))
+                   UNION ALL SELECT 'attendance', cast(0 as bigint)),
+        taken AS (SELECT count(*) AS n FROM people),
+        kept AS (SELECT count(*) AS n FROM people_feed WHERE {_PEOPLE_KEPT}),
+        told AS (SELECT 'people' AS feed, 'extracted' AS metric, count(*) AS n FROM people_feed
+                 UNION ALL SELECT 'people', 'kept', n FROM kept
+                 UNION ALL SELECT 'people', unnest(['processed', 'inserted']), n FROM taken
+                 UNION ALL SELECT 'people', 'skipped', 0
+                 UNION ALL SELECT 'catalog', unnest(['extracted', 'kept', 'processed', 'inserted']), count(*) FROM course_offers
+                 UNION ALL SELECT 'catalog', 'skipped', 0
+                 UNION ALL SELECT 'grades', 'extracted', count(*) FROM feed
+                 UNION ALL SELECT 'grades', concat('added_', "table"), "rows" FROM counts
+                   WHERE "table" IN ('enrollments', 'grades') AND "rows" > 0
+                 UNION ALL SELECT 'grades', case when email is null then 'student_not_found' else 'course_not_found' end, count(*)
+                   FROM feed WHERE email IS NULL OR course_code IS NULL GROUP BY ALL)
         SELECT "table", "rows", case "table" when 'students' then "rows" > 100
-               when 'courses' then "rows" BETWEEN 20 AND 40 else true end AS passed FROM counts
+               when 'courses' then "rows" BETWEEN 20 AND 40 else true end AS passed,
+          NULL AS email, NULL AS first_name, NULL AS last_name, NULL AS major, NULL::DATE AS date_of_birth,
+          NULL AS course_code, NULL AS course_name, NULL::INT AS credits,
+          NULL AS assessment_type, NULL::DECIMAL(5,2) AS score, NULL::DECIMAL(3,2) AS weight, NULL AS feed, NULL AS metric FROM counts
+        UNION ALL SELECT NULL, NULL, NULL, email, first_name, last_name, major, try_cast(dob AS date), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+          FROM people
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, course_code, course_name, credits, NULL, NULL, NULL, NULL, NULL
+          FROM course_offers
+        UNION ALL SELECT NULL, NULL, NULL, email, NULL, NULL, NULL, NULL, course_code, NULL, NULL, assessment_type, score, weight, NULL, NULL
+          FROM refs
+        UNION ALL SELECT NULL, n, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, feed, metric FROM told
         """,
         "people_feed",
         "lines",
         "orders_placed",
-        "courses",
+        "course_offers",
     )
 
     out["row_count_checks"] = with_views(
