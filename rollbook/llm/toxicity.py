@@ -259,9 +259,14 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, te
     """
     own = labels.filter(~held_out(id_col) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     own = own.groupBy(F.col(id_col).alias("_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("toxic"))
-    texts = docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    joined = texts.join(own, F.col("_doc") == F.col("_id")).filter(F.length("text") > 0)
-    return joined.groupBy(F.xxhash64("text").alias("key")).agg(F.min_by("text", "_id").alias("text"), F.max("toxic").alias("toxic"))
+    texts = docs.filter(~held_out(id_col) & F.col(id_col).isNotNull() & (F.length(text_col) > 0))
+    texts = texts.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    # which row stands for a text is settled on ids and keys; then each text is moved once, by both,
+    # so that copies of one text do not meet; the same plan at every size
+    chosen = texts.select("_id", "key").join(own.hint("merge"), "_id")
+    chosen = stage(chosen.groupBy("key").agg(F.min("_id").alias("_id"), F.max("toxic").alias("toxic")))
+    found = texts.join(chosen.hint("merge"), ["key", "_id"]).dropDuplicates(["key", "_id"])
+    return found.select("key", "text", "toxic")
 
 
 def vote_counts(docs: DataFrame, known: DataFrame, sure: Iterable[str], text_col: str) -> DataFrame:
