@@ -19,7 +19,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Callable, Iterator, Sequence
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -122,7 +122,7 @@ class Segmenter:
     #: Occurrences that are looked up at once.
     _BLOCK = 1 << 18
 
-    def __init__(self, words: Vocabulary, rate: float, seed: int, remember: int = 300_000) -> None:
+    def __init__(self, words: Vocabulary, rate: float, seed: int, remember: int = 200_000) -> None:
         self.words, self.seed, self.remember = words, seed, remember
         self.skip_below = int(rate * (1 << 32))
         self.symbols = np.arange(words.unknown, words.unknown + 0x110000, dtype=np.int64)
@@ -134,6 +134,8 @@ class Segmenter:
         self.is_byte[list(words.byte_of)] = True
         self.known = _Paths()
         self.merges: dict[int, int] = {}
+        bytes_of = (bytes([words.byte_of[i]]) if i in words.byte_of else p.replace(_BLANK, " ").encode() for i, p in enumerate(words.pieces))
+        self.bytes_of = pa.array(bytes_of, pa.binary())
         self._chunks = re.compile(" *[^ ]+| +").findall
 
     def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -314,11 +316,13 @@ class Segmenter:
     def _found(self, chunks: list[str], keys: np.ndarray) -> np.ndarray:
         """The node at which each occurrence of a short chunk ends, by its key."""
         known = self.known
-        new = list(dict.fromkeys([c for c in chunks if c not in known.roots]))
-        if new:
+        node = np.fromiter(map(known.roots.get, chunks, repeat(-1)), np.int64, len(chunks))
+        lacking = np.flatnonzero(node < 0).tolist()
+        if lacking:
+            new = list(dict.fromkeys([chunks[i] for i in lacking]))
             none = np.full(len(new), -1)
             known.roots.update(zip(new, self._add(new, none, none).tolist(), strict=True))
-        node = np.fromiter(map(known.roots.__getitem__, chunks), np.int64, len(chunks))
+            node[lacking] = [known.roots[chunks[i]] for i in lacking]
         out, who = node.copy(), np.arange(len(chunks))
         while len(who):
             widths = known.width.all[node]
@@ -382,6 +386,15 @@ class Segmenter:
         at = np.arange(int(ends[-1])) + np.repeat(start - ends + size, size)
         return ids[at], size
 
+    def lossless(self, found: list[np.ndarray], texts: pa.Array) -> pa.Array:
+        """Whether the bytes of the pieces of each text, one after the other, are the text behind its blank."""
+        ends = np.cumsum([0, *map(len, found)])
+        flat = self.bytes_of.take(pa.array(np.concatenate([np.empty(0, np.int32), *found])))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat), b"")
+        texts = texts.cast(pa.binary())
+        led = pc.binary_join_element_wise(pa.scalar(b""), texts, pa.scalar(b" "))
+        return pc.equal(joined, pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, led))
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text that was encoded, to the last character."""
         if not len(ids):
@@ -435,7 +448,6 @@ def encode(
                     last = key
                     keys.append(key + copy * 0x5851F42D4C957F2D)
                 found = work.encode(texts, keys)
-                lossless = [work.decode(ids) == text for ids, text in zip(found, texts, strict=True)]
                 sizes = [len(ids) for ids in found]
                 ends = np.cumsum([0, *sizes])
                 values = pa.array(np.concatenate(found), pa.int32())
@@ -444,7 +456,7 @@ def encode(
                         "id": part.column("id"),
                         "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
                         "n_pieces": pa.array(sizes, pa.int64()),
-                        "lossless": pa.array(lossless, pa.bool_()),
+                        "lossless": work.lossless(found, part.column("text")),
                     }
                 )
 
