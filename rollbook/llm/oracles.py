@@ -37,11 +37,11 @@ _NEAR_TEXTS = f"""
 _FINITE = "embedding IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0"
 
 _TOP_K = f"""
-    WITH scaled AS (SELECT vec_id, [floor(256 * cast(x AS double)) for x in embedding] AS z
+    WITH scaled AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, [floor(256 * cast(x AS double)) for x in embedding] AS z
                     FROM embeddings WHERE {_FINITE}),
-    scores AS (SELECT q.vec_id AS query_id, c.vec_id, cast(list_dot_product(q.z, c.z) AS bigint) AS score
-               FROM scaled q, scaled c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+    scores AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, cast(list_dot_product(q.z, c.z) AS bigint) AS score
+               FROM scaled q, scaled c WHERE q.vec_id % 50 = 0 AND c.row <> q.row AND len(c.z) = len(q.z)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM scores)
     SELECT query_id, cast(rank AS int) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollbook.functions.staging import stage
@@ -171,22 +171,38 @@ def near_vectors(
 
 # -- exact search ------------------------------------------------------------
 
-#: Scaled components beyond this do not leave the scores within 64 bits.
-_BOUND = 1 << 26
+#: Scores below this are worked out in 64 bits, others in numbers of any length.
+_BOUND = 1 << 62
 
 
-def _packed(group: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one block to one row: ids, matrix."""
-    order = np.argsort(group["id"].to_numpy(), kind="stable")
-    x = np.stack(group["vector"].to_list())[order].astype(np.int64)
-    ids = group["id"].to_numpy()[order]
-    return pd.DataFrame(
-        {"dim": [x.shape[1]], "block": [int(group["block"].iloc[0])], "ids": [ids.tobytes()], "matrix": [x.tobytes()]}
-    )
+def _packed(scale: int) -> object:
+    """Rows of one block to one row: numbers of the rows, ids, matrix of floor(scale * x), which doubles hold exactly."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        order = np.lexsort((group["row"].to_numpy(), group["id"].to_numpy()))
+        x = np.floor(scale * np.stack(group["vector"].to_list())[order].astype(np.float64))
+        held = {name: [group[name].to_numpy()[order].tobytes()] for name in ("row", "id")}
+        return pd.DataFrame({"dim": [x.shape[1]], "block": [int(group["block"].iloc[0])], **held, "matrix": [x.tobytes()]})
+
+    return run
+
 
+def _products(x: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Whole inner products of rows with a query."""
+    reach = float(np.abs(x).max(initial=0)) * float(np.abs(query).max(initial=0)) * x.shape[1]
+    if reach < _BOUND:
+        return x.astype(np.int64) @ query.astype(np.int64)
+    whole = [int(v) for v in query]
+    return np.array([sum(int(a) * b for a, b in zip(row, whole, strict=True)) for row in x] + [None], object)[:-1]
 
-def top_of_block(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple]:
-    """The k best rows of one block for each query, from sorted lists read in order.
+
+def top_of_block(
+    queries: np.ndarray, query_keys: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, keys: np.ndarray | None = None
+) -> list[tuple]:
+    """The k best rows of one block for each query, from sorted lists read in order: (key of the query, id, score).
+
+    ``keys`` (the ids, if left out) tell rows apart; a query does not find the
+    row of its own key.
 
     Each component is a list sorted by value; a query reads it from the end
     that scores higher, all its lists to the same depth.  What has been read of
@@ -199,7 +215,7 @@ def top_of_block(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
     """
     n = len(x)
     few = max(4 * k, 64)
-    alive = ids[:, None] != query_ids[None, :]
+    alive = (ids if keys is None else keys)[:, None] != query_keys[None, :]
     going = np.arange(len(queries))
     order = np.argsort(x, axis=0, kind="stable")
     lists = np.take_along_axis(x, order, axis=0).astype(np.float64)
@@ -220,14 +236,14 @@ def top_of_block(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
         going = going[alive[:, going].sum(axis=0) > few]
         depth *= 2
     out = []
-    for c, own in enumerate(query_ids):
+    for c, own in enumerate(query_keys):
         left = np.flatnonzero(alive[:, c])
-        score = x[left] @ queries[c]
+        score = _products(x[left], queries[c])
         if len(left) > few:
             cut = np.partition(score, len(score) - k)[len(score) - k]
             left, score = left[score >= cut], score[score >= cut]
-        best = np.lexsort((ids[left], -score))[:k]
-        out += [(int(own), int(ids[left[b]]), int(score[b])) for b in best]
+        best = sorted(zip((-score).tolist(), ids[left].tolist(), strict=True))[:k]
+        out += [(int(own), i, -below) for below, i in best]
     return out
 
 
@@ -235,10 +251,16 @@ def _searched(k: int) -> object:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                x = np.frombuffer(r.matrix, np.int64).reshape(-1, r.dim)
-                q = np.frombuffer(r.q_matrix, np.int64).reshape(-1, r.dim)
-                found = top_of_block(q, np.frombuffer(r.q_ids, np.int64), x, np.frombuffer(r.ids, np.int64), k)
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                x, q = (np.frombuffer(m, np.float64).reshape(-1, r.dim) for m in (r.matrix, r.q_matrix))
+                rows, ids, q_rows, q_ids = (np.frombuffer(m, np.int64) for m in (r.row, r.id, r.q_row, r.q_id))
+                id_of = dict(zip(q_rows.tolist(), q_ids.tolist(), strict=True))
+                found = top_of_block(q, q_rows, x, ids, k, rows)
+                if any(score >= 1 << 63 for _, _, score in found):
+                    raise OverflowError("a score leaves 64 bits")
+                # one that is too low counts only if it is among the best in the end
+                low = -(1 << 63)
+                told = [(own, id_of[own], i, max(score, low), score < low) for own, i, score in found]
+                yield pd.DataFrame(told, columns=["query_row", "query_id", "vec_id", "score", "too_low"])
 
     return run
 
@@ -257,39 +279,35 @@ def top_k(
 
     Components are taken as floor(scale * x), scores are whole inner products,
     ties go to the smaller id.  Vectors that are NULL or empty, or hold NULL or
-    non-finite components, or scaled components beyond 2^26, take no part;
-    neither do NULL ids.  A query meets vectors of its own length only.  Rows
-    that repeat an id with the same vector count once; of several vectors under
-    one id, none is a candidate for another of them.  With fewer than k
-    candidates all are given; an empty table gives no rows.  Columns other than
-    the two named ones are read only by ``is_query``.
+    non-finite components, take no part; neither do NULL ids.  Components may be
+    of any size: what 64 bits cannot hold is worked out in longer numbers, and
+    only a score among the best that leaves 64 bits is an error.  A query meets
+    vectors of its own length only.  A row is a row: those that repeat an id or a
+    vector are all candidates, of one another too, and each asks for itself.
+    With fewer than k candidates all are given; an empty table gives no rows.
+    Columns other than the two named ones are read only by ``is_query``.
     """
     whole = rows.select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), is_query.alias("asks")
     )
-    whole = whole.filter(usable("vector") & F.col("id").isNotNull())
-    whole = whole.withColumn("vector", F.transform("vector", lambda x: F.floor(x * F.lit(float(scale))).cast("long")))
-    whole = whole.filter(F.forall("vector", lambda x: F.abs(x) <= _BOUND)).withColumn("dim", F.size("vector"))
-    whole = stage(whole.dropDuplicates(["id", "vector"]))
-    schema = "dim int, block int, ids binary, matrix binary"
+    whole = whole.filter(usable("vector") & F.col("id").isNotNull()).withColumn("dim", F.size("vector"))
+    whole = stage(whole.withColumn("row", F.monotonically_increasing_id()))
+    schema = "dim int, block int, row binary, id binary, matrix binary"
 
     def packed(part: DataFrame, size: int) -> DataFrame:
         blocks = max(1, -(-part.count() // size))
-        dealt_out = part.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        return stage(map_groups(dealt_out, ["dim", "block"], _packed, schema))
+        dealt_out = part.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
+        return stage(map_groups(dealt_out, ["dim", "block"], _packed(scale), schema))
 
     blocks = packed(whole, block)
     top = blocks.agg(F.max("block")).first()[0]
     asks = packed(whole.filter("asks"), query_block)
-    asks = asks.select("dim", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"))
+    asks = asks.select("dim", *[F.col(c).alias(f"q_{c}") for c in ("row", "id", "matrix")])
     # every block of candidates with every block of queries: the work asked for, dealt in bounded pieces
     asks = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(top or 0))))
     pieces = blocks.join(asks, ["dim", "block"])
-    found = stage(pieces.mapInPandas(_searched(k), "query_id long, vec_id long, score long"))
-    ordered = F.slice(
-        F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("below"), "vec_id"))), 1, k
-    )
-    best = found.groupBy("query_id").agg(ordered.alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("at", "hit")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.below")).alias("score")
-    )
+    found = pieces.mapInPandas(_searched(k), "query_row long, query_id long, vec_id long, score long, too_low boolean")
+    order = Window.partitionBy("query_row").orderBy("too_low", F.desc("score"), "vec_id")
+    best = stage(found).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    fits = F.when(F.col("too_low"), F.raise_error(F.lit("a score leaves 64 bits"))).otherwise(F.col("score"))
+    return best.select("query_id", "rank", "vec_id", fits.cast("long").alias("score"))

@@ -155,3 +155,27 @@ def test_pair_queries_on_tables(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute.near_classes(texts)
     rows = [(r.vec_id, r.embedding) for r in table(spark, SF, "embeddings").collect()]
     assert {tuple(r) for r in queries.op7_top_k(spark, SF).collect()} == _best(rows, 5)
+
+
+def test_top_k_of_large_components_and_repeated_ids(spark):
+    """No row is left out for its size; rows that share an id are rows of their own."""
+    draw = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(v)) for v in draw.standard_normal(4) * 10.0 ** draw.integers(0, 7)]) for i in range(0, 400, 10)]
+    rows += [(50, [400000.0, 1.0, 0.0, -3.0]), (50, [1.0, 1.0, 0.0, -3.0]), (1, [300000.0, 1.0, 5.0, 0.0]), (1, [300000.0, 1.0, 5.0, 0.0])]
+    asks = F.col("vec_id") % 50 == 0
+    whole = [(i, [int(np.floor(256 * v)) for v in vector]) for i, vector in rows]
+    want = []
+    for a, (own, q) in enumerate(whole):
+        if own % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(q, c, strict=True)), i) for b, (i, c) in enumerate(whole) if b != a)[:5]
+            want += [(own, r + 1, i, -s) for r, (s, i) in enumerate(scores)]
+    assert max(abs(w[3]) for w in want) > 1 << 53
+    got = vectors.top_k(_vectors(spark, rows), asks, block=16, query_block=4).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    beyond = [(0, [1e18, 1.0]), (2, [1e18, 1.0]), (3, [-1e18, 1.0])]
+    with pytest.raises(Exception, match="64 bits"):
+        vectors.top_k(_vectors(spark, beyond), asks).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        vectors.top_k(_vectors(spark, [beyond[0], beyond[2]]), asks).collect()
+    fine = [(0, [1e18, 1.0]), *[(i, [0.0, float(i)]) for i in range(1, 8)], (9, [-1e18, 1.0])]
+    assert vectors.top_k(_vectors(spark, fine), asks).count() == 5
