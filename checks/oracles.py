@@ -227,6 +227,19 @@ def statements() -> dict[str, str]:
         """,
         *_FIVE,
     )
+    out["activity_page"] = with_views(
+        """
+        , marks AS (SELECT enrollment_id, assessment_type, score, row_number() OVER (PARTITION BY enrollment_id
+                      ORDER BY assessment_type NULLS FIRST, score NULLS FIRST) AS mark FROM grades),
+        product AS (SELECT enrollment_id, first_name, last_name, course_code, assessment_type, score, status, attendance_date, mark
+                    FROM enrollments JOIN students USING (student_id) JOIN courses USING (course_id)
+                    LEFT JOIN marks USING (enrollment_id) LEFT JOIN attendance USING (enrollment_id)),
+        numbered AS (SELECT row_number() OVER (ORDER BY enrollment_id, mark, attendance_date NULLS FIRST, status NULLS FIRST) - 1
+                       AS row, * EXCLUDE (mark) FROM product)
+        SELECT * FROM numbered WHERE row BETWEEN 1000 AND 3999
+        """,
+        *_FIVE,
+    )
     out["transcript_text"] = with_views(
         _lines(
             "TRANSCRIPT",

@@ -22,6 +22,7 @@ from rollbook.plans import commands as C
 from rollbook.plans import incremental as N
 from rollbook.plans import late
 from rollbook.plans import loads as L
+from rollbook.plans import pages
 from rollbook.plans import quality as Q
 from rollbook.plans import reports as A
 from rollbook.sources import exports, feeds
@@ -108,6 +109,13 @@ def activity_log(spark: SparkSession, sf: str) -> DataFrame:
     return A.activity_log(*views(spark, sf, "students", "courses", "enrollments", "grades", "attendance"))
 
 
+@query
+def activity_page(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows 1,000 to 3,999 of the grades x attendance listing."""
+    five = views(spark, sf, "students", "courses", "enrollments", "grades", "attendance")
+    return pages.activity_page(*five, 1000, 4000)
+
+
 @query
 def transcript_text(spark: SparkSession, sf: str) -> DataFrame:
     return A.transcript_lines(transcripts(spark, sf))
