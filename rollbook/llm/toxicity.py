@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.staging import stage
-from rollbook.llm.common import unit_interval
+from rollbook.llm.common import literal, unit_interval
 
 # Fixed word lists by theme.
 LEXICONS = {
@@ -265,10 +265,29 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, te
     # so that copies of one text do not meet; the same plan at every size
     chosen = texts.select("_id", "key").join(own.hint("merge"), "_id")
     chosen = stage(chosen.groupBy("key").agg(F.min("_id").alias("_id"), F.max("toxic").alias("toxic")))
-    found = texts.join(chosen.hint("merge"), ["key", "_id"]).dropDuplicates(["key", "_id"])
+    # most rows without a label are told by a bitmap of bounded size and not moved at all
+    named = F.xxhash64("_id", "key")
+    maybe = texts.filter(_marked(named, chosen.select(named.alias("named"))))
+    found = maybe.join(chosen.hint("merge"), ["key", "_id"]).dropDuplicates(["key", "_id"])
     return found.select("key", "text", "toxic")
 
 
+def _marked(value: Column, held: DataFrame, bits: int = 1 << 23) -> Column:
+    """Whether a hash may be among those of ``held`` (column ``named``): never false for one that is.
+
+    The bitmap is 1 MB whatever the number of rows; with many more rows than bits
+    it lets all pass, and the join alone decides.
+    """
+    place = F.pmod("named", F.lit(bits))
+    words = held.select(place.alias("place")).groupBy(F.expr("cast(place div 64 as int)").alias("word"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("bits")).collect()
+    table = np.zeros(bits // 64, np.int64)
+    table[[r["word"] for r in words]] = [r["bits"] for r in words]
+    own = F.pmod(value, F.lit(bits))
+    word = F.element_at(literal(table.tolist(), "array<bigint>"), (F.call_function("div", own, F.lit(64)) + 1).cast("int"))
+    return F.call_function("shiftrightunsigned", word, (own % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def vote_counts(docs: DataFrame, known: DataFrame, sure: Iterable[str], text_col: str) -> DataFrame:
     """How many distinct texts of all ``docs`` have which votes (bits) and label: bits, given (1, -1, or 0 without), n."""
     voters = Voters(sure)
