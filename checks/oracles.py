@@ -227,6 +227,18 @@ def statements() -> dict[str, str]:
         """,
         *_FIVE,
     )
+    out["packed_transcripts"] = with_views(
+        f"""
+        , papers AS ({_VIEW}),
+        lines AS (SELECT *, concat_ws(',', student_id, first_name, last_name, coalesce(email, ''), course_code, course_name, credits,
+                    semester, coalesce(cast(final_score AS varchar), ''), letter_grade) || chr(13) || chr(10) AS line FROM papers)
+        SELECT student_id, 'Student ID,First,Last,Email,Code,Course,Credits,Semester,Avg Score,Grade' || chr(13) || chr(10)
+          || string_agg(line, '' ORDER BY course_code, semester) AS csv
+        FROM lines WHERE student_id IN (SELECT student_id FROM debtors) GROUP BY student_id
+        """,
+        *_FOUR,
+        "debtors",
+    )
     out["activity_page"] = with_views(
         """
         , marks AS (SELECT enrollment_id, assessment_type, score, row_number() OVER (PARTITION BY enrollment_id

@@ -495,6 +495,14 @@ def seed_tables(spark: SparkSession, sf: str) -> DataFrame:
     return people.unionByName(seeded["courses"].select("course_id", "course_name", "course_code", "credits"), allowMissingColumns=True)
 
 
+@query
+def packed_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV file per student, packed into few; those of the debtors read back by the index."""
+    path = _scratch(spark, "packed")
+    exports.export_packed(transcripts(spark, sf), path)
+    return exports.read_packed(spark, path, view(spark, sf, "debtors"))
+
+
 @query
 def published_tables(spark: SparkSession, sf: str) -> DataFrame:
     """Five tables published, attendance appended, the whole read back and reported on."""
