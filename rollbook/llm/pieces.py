@@ -102,10 +102,10 @@ class _Paths:
     def __init__(self) -> None:
         self.roots: dict[str, int] = {}
         self.chunks: list[str] = []
-        self.parent, self.via = _Column(np.int64), _Column(np.int64)
-        self.first, self.width = _Column(np.int64), _Column(np.int64)
-        self.entry, self.child = _Column(np.int64), _Column(np.int64)
-        self.start, self.size = _Column(np.int64), _Column(np.int64)
+        self.parent, self.via = _Column(np.int32), _Column(np.int64)
+        self.first, self.width = _Column(np.int32), _Column(np.int32)
+        self.entry, self.child = _Column(np.int64), _Column(np.int32)
+        self.start, self.size = _Column(np.int32), _Column(np.int32)
         self.ids = _Column(np.int32)
 
 
@@ -122,7 +122,7 @@ class Segmenter:
     #: Occurrences that are looked up at once.
     _BLOCK = 1 << 18
 
-    def __init__(self, words: Vocabulary, rate: float, seed: int, remember: int = 200_000) -> None:
+    def __init__(self, words: Vocabulary, rate: float, seed: int, remember: int = 600_000) -> None:
         self.words, self.seed, self.remember = words, seed, remember
         self.skip_below = int(rate * (1 << 32))
         self.symbols = np.arange(words.unknown, words.unknown + 0x110000, dtype=np.int64)
@@ -425,6 +425,7 @@ def encode(
     model: str = MODEL,
     rate: float = 0.1,
     seed: int = 11,
+    remember: int = 600_000,
 ) -> DataFrame:
     """One row per document: id, ids (piece ids), n_pieces, lossless (the ids decode to the text).
 
@@ -432,12 +433,14 @@ def encode(
     follow one another with the same id and text, as copies of a mix do, are
     segmented differently; a NULL id is a key like others.  An empty table
     gives no rows.  Columns other than the two named ones are not read.
+    ``remember`` bounds the paths that a task keeps (about 300 bytes each); fewer
+    cost time and change nothing else.
     """
     words = Vocabulary(*read_model(model))
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = Segmenter(words, rate, seed)
+        work = Segmenter(words, rate, seed, remember)
         last, copy = None, 0
         for batch in batches:
             for a, b in _slices(batch.column("text")):
