@@ -41,7 +41,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids under merge-dropout: doc_id, n_pieces, lossless, ids."""
-    return pieces.encode(docs).select("doc_id", "n_pieces", "lossless", "ids")
+    # fewer paths than by itself: executors hold what the stages before have left in their heaps
+    return pieces.encode(docs, remember=120_000).select("doc_id", "n_pieces", "lossless", "ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
