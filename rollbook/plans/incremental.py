@@ -29,7 +29,8 @@ _SUMS = ["enrolled", "assessments", "sum_units", "scored", "classes", "attended"
 
 def _facts(rows: DataFrame, **sums: Column) -> DataFrame:
     """Folded rows with the sums given, 0 for the others."""
-    return rows.groupBy(*_KEY).agg(*[F.coalesce(F.sum(sums[s]), F.lit(0)).cast("bigint").alias(s) if s in sums else F.lit(0).cast("bigint").alias(s) for s in _SUMS])
+    total = lambda s: F.coalesce(F.sum(sums[s]), F.lit(0)) if s in sums else F.lit(0)
+    return rows.groupBy(*_KEY).agg(*[total(s).cast("bigint").alias(s) for s in _SUMS])
 
 
 def _placed(parts: DataFrame, enrollments: DataFrame) -> DataFrame:
