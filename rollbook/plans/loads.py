@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook import schemas
 from rollbook.functions.staging import stage, staging_scope
 from rollbook.operators import rules as R
 from rollbook.operators.clean import coerce, conform, drop_missing, fit_lengths, rename
-from rollbook.operators.keys import assign_ids, insert_absent, load_counters, next_id
+from rollbook.operators.keys import assign_ids, insert_absent, next_id
 from rollbook.plans.commands import NextIds, Outcome, Tables, load_grades
 from rollbook.sources.feeds import ORDER, SURPLUS, read_grades, read_people
 from rollbook.sources.store import TableStore
@@ -67,6 +67,24 @@ def _insert(
     return {**tables, table: grown}, added
 
 
+def _observed(df: DataFrame, metric: str, seen: dict[str, Observation]) -> DataFrame:
+    """The frame, with its rows counted by whatever job first reads it to the end."""
+    seen[metric] = Observation()
+    return df.observe(seen[metric], F.count(F.lit(1)).alias("rows"))
+
+
+def _counters(seen: dict[str, Observation], added: DataFrame) -> DataFrame:
+    """Rows (metric, rows) of one load, from the job that wrote its batch; only the written new rows are counted anew.
+
+    ``processed`` counts the rows offered to the target, conflicting ones
+    included; ``inserted`` only those that entered it.
+    """
+    rows = {metric: found.get["rows"] for metric, found in seen.items()}
+    rows["inserted"] = added.count()
+    rows["skipped"] = rows["processed"] - rows["inserted"]
+    return added.sparkSession.createDataFrame([*rows.items()], "metric string, rows bigint")
+
+
 def clean_people(feed: DataFrame) -> DataFrame:
     """People rows with an email, under the table's column names, still text."""
     kept = drop_missing(feed, ["email"])
@@ -88,12 +106,15 @@ def load_people(
     checks = [*R.table_rules("students", people.columns), R.real_date("date_of_birth")]
     if SURPLUS in people.columns:
         checks.append(R.Rule("surplus_fields", F.col(SURPLUS).isNull()))
-    valid, rejected = R.apply_rules(people, checks)
+    _, rejected = R.apply_rules(people, checks)
     if strict:
         _refuse(rejected, "people")
-    batch = fit_lengths(coerce(valid.drop(SURPLUS), schemas.STUDENTS), schemas.MAX_LENGTH["students"])
-    grown, added = _insert(tables, "students", batch, list(order), next_ids)
-    return Outcome(grown, {"students": added}, rejected), load_counters(feed, people, batch, added)
+    seen: dict[str, Observation] = {}
+    counted = _observed(clean_people(_observed(feed, "extracted", seen)), "kept", seen)
+    valid = counted.where(R.passes(checks)).drop(SURPLUS)
+    batch = fit_lengths(coerce(valid, schemas.STUDENTS), schemas.MAX_LENGTH["students"])
+    grown, added = _insert(tables, "students", _observed(batch, "processed", seen), list(order), next_ids)
+    return Outcome(grown, {"students": added}, rejected), _counters(seen, added)
 
 
 def load_catalog(
@@ -109,13 +130,15 @@ def load_catalog(
     by the cast.
     """
     checks = [*R.table_rules("courses", feed.columns), R.whole_number("credits")]
-    valid, rejected = R.apply_rules(feed, checks)
+    _, rejected = R.apply_rules(feed, checks)
     if strict:
         _refuse(rejected, "catalog")
+    seen: dict[str, Observation] = {}
+    counted = _observed(_observed(feed, "extracted", seen), "kept", seen)
     whole = F.col("credits").try_cast("decimal(10,0)").try_cast("int")
-    batch = fit_lengths(valid.withColumn("credits", whole), schemas.MAX_LENGTH["courses"])
-    grown, added = _insert(tables, "courses", batch, list(order), next_ids)
-    return Outcome(grown, {"courses": added}, rejected), load_counters(feed, feed, batch, added)
+    batch = fit_lengths(counted.where(R.passes(checks)).withColumn("credits", whole), schemas.MAX_LENGTH["courses"])
+    grown, added = _insert(tables, "courses", _observed(batch, "processed", seen), list(order), next_ids)
+    return Outcome(grown, {"courses": added}, rejected), _counters(seen, added)
 
 
 def seed_rows(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
