@@ -5,6 +5,7 @@ from decimal import Decimal as D
 
 import pytest
 
+from rollbook import schemas
 from rollbook.plans import commands as C
 from tests.conftest import rows
 
@@ -212,3 +213,14 @@ def test_dedupe_keeps_nulls_and_the_first(spark, school):
         ("Quiz", None, D("0.10")),
         ("Test", D("70.00"), D("0.10")),
     ]
+
+
+def test_valid_feed_rows_are_written_without_their_keys(spark, school, monkeypatch):
+    feed = spark.createDataFrame([(2, "A2", "Final", "70", "0.5"), (9, "A2", "Final", "71", "0.5")], schemas.GRADE_FEED)
+    written, write = [], C.stage
+    monkeypatch.setattr(C, "stage", lambda df: written.append(write(df)) or written[-1])
+    done = C.load_grades(school, feed, "2025-01-01")
+    judged = next(df for df in written if "reasons" in df.columns)
+    assert rows(judged, "student_ref_id", "course_code_ref") == [(9, "A2"), (None, None)]
+    assert rows(done.rejected, "student_ref_id", "course_code_ref", "score") == [(9, "A2", "71")]
+    assert done.added["grades"].count() == 1
