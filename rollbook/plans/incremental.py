@@ -27,15 +27,10 @@ _KEY = ["student_id", "course_id", "semester"]
 _SUMS = ["enrolled", "assessments", "sum_units", "scored", "classes", "attended"]
 
 
-def _facts(rows: DataFrame, **sums: Column) -> DataFrame:
-    """Folded rows with the sums given, 0 for the others."""
-    total = lambda s: F.coalesce(F.sum(sums[s]), F.lit(0)) if s in sums else F.lit(0)
-    return rows.groupBy(*_KEY).agg(*[total(s).cast("bigint").alias(s) for s in _SUMS])
-
-
-def _placed(parts: DataFrame, enrollments: DataFrame) -> DataFrame:
-    """Sums by enrollment with the keys of the facts; those of unknown enrollments go."""
-    return enrollments.select("enrollment_id", *_KEY).join(parts, "enrollment_id")
+def _parts(rows: DataFrame, **sums: Column) -> DataFrame:
+    """Sums by enrollment, 0 for those not given; copies of an enrollment are folded in the tasks that read them."""
+    values = [F.coalesce(sums.get(s, F.lit(0)), F.lit(0)).cast("bigint").alias(s) for s in _SUMS[1:]]
+    return rows.groupBy("enrollment_id").agg(*values)
 
 
 def signed_facts(
@@ -43,35 +38,36 @@ def signed_facts(
 ) -> DataFrame:
     """What added rows and changed grades alter.
 
-    Rows are folded by enrollment before they meet the enrollments.  A change
-    takes back what it replaces, so it meets the old grades of its key, as the
-    change itself does.
+    Rows are folded by enrollment, and the folded ones of all tables are added up
+    before they meet the enrollments, once; rows of unknown enrollments go.  A
+    change takes back what it replaces, so it meets the old grades of its key, as
+    the change itself does.
     """
     new = {name: conform(df, schemas.TABLES[name]) for name, df in (append or {}).items()}
-    enrollments = conform(before["enrollments"], schemas.ENROLLMENTS)
-    out = []
+    enrollments = conform(before["enrollments"], schemas.ENROLLMENTS).select("enrollment_id", *_KEY)
+    out, parts = [], []
     if "enrollments" in new:
-        out.append(_facts(new["enrollments"], enrolled=F.lit(1)))
-        enrollments = enrollments.unionByName(new["enrollments"])
+        enrolled = [F.lit(int(s == "enrolled")).cast("bigint").alias(s) for s in _SUMS]
+        out.append(new["enrollments"].select(*_KEY, *enrolled))
+        enrollments = enrollments.unionByName(new["enrollments"].select("enrollment_id", *_KEY))
     if "grades" in new:
-        score = units(F.col("score"))
-        parts = new["grades"].groupBy("enrollment_id").agg(
-            F.count("*").alias("n"), F.sum(score).alias("u"), F.count("score").alias("c")
-        )
-        out.append(_facts(_placed(parts, enrollments), assessments=F.col("n"), sum_units=F.col("u"), scored=F.col("c")))
+        score = F.sum(units(F.col("score")))
+        parts.append(_parts(new["grades"], assessments=F.count("*"), sum_units=score, scored=F.count("score")))
     if "attendance" in new:
         present = F.when(F.col("status").isin(*schemas.ATTENDED), 1).otherwise(0)
-        parts = new["attendance"].groupBy("enrollment_id").agg(F.count("*").alias("n"), F.sum(present).alias("a"))
-        out.append(_facts(_placed(parts, enrollments), classes=F.col("n"), attended=F.col("a")))
+        parts.append(_parts(new["attendance"], classes=F.count("*"), attended=F.sum(present)))
     if changes is not None:
         old = before["grades"].select("enrollment_id", "assessment_type", "score")
         met = old.join(changes.select("enrollment_id", "assessment_type", "new_score"), ["enrollment_id", "assessment_type"])
         value = lambda c: F.coalesce(units(F.col(c)), F.lit(0))
         is_set = lambda c: F.col(c).isNotNull().cast("bigint")
-        parts = met.groupBy("enrollment_id").agg(
-            F.sum(value("new_score") - value("score")).alias("u"), F.sum(is_set("new_score") - is_set("score")).alias("c")
-        )
-        out.append(_facts(_placed(parts, enrollments), sum_units=F.col("u"), scored=F.col("c")))
+        more = {"sum_units": F.sum(value("new_score") - value("score")), "scored": F.sum(is_set("new_score") - is_set("score"))}
+        parts.append(_parts(met, **more))
+    if parts:
+        total = reduce(DataFrame.unionByName, parts)
+        if len(parts) > 1:
+            total = total.groupBy("enrollment_id").agg(*[F.sum(s).alias(s) for s in _SUMS[1:]])
+        out.append(enrollments.join(total, "enrollment_id").select(*_KEY, F.lit(0).cast("bigint").alias("enrolled"), *_SUMS[1:]))
     if not out:
         raise ValueError("nothing to account for")
     return folded(reduce(DataFrame.unionByName, out))
@@ -97,17 +93,21 @@ def publish(
     as the removal of ``deleted_students`` or, for students and courses, not at
     all: a report takes their names from the tables.
     """
-    counted = {n: df for n, df in (append or {}).items() if n in ("enrollments", "grades", "attendance")}
-    with staging_scope(store.spark):
+    counted = [n for n in append or {} if n in ("enrollments", "grades", "attendance")]
+
+    def altered(written: Mapping[str, DataFrame], changed: DataFrame | None) -> DataFrame:
         parts = []
-        if counted or changes is not None:
-            counted = {n: stage(df) for n, df in counted.items()}
-            changes = None if changes is None else stage(changes)
-            parts.append(signed_facts(store.read(), counted, changes))
+        if counted or changed is not None:
+            parts.append(signed_facts(store.read(), {n: written[n] for n in counted}, changed))
         if deleted_students is not None:
             parts.append(taken_back(store.facts(), deleted_students))
-        facts = reduce(DataFrame.unionByName, parts) if parts else None
-        return store.publish(replace, {**(append or {}), **counted}, changes, batch, facts=facts)
+        return reduce(DataFrame.unionByName, parts)
+
+    counts = bool(counted) or changes is not None or deleted_students is not None
+    with staging_scope(store.spark):
+        # replaced rows are put in ranges, which takes them twice: to draw the bounds and to deal them
+        replace = {n: stage(df) for n, df in (replace or {}).items()}
+        return store.publish(replace, append, changes, batch, facts=altered if counts else None)
 
 
 # -- reports from facts -------------------------------------------------------

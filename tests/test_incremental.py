@@ -42,3 +42,27 @@ def test_sums_follow_the_publishes(spark, tmp_path, school, make):
     same(store)
     files = N.course_performance(store.facts(), store.read()["courses"]).inputFiles()
     assert files and all("/facts/" in f or "/courses" in f for f in files)
+
+
+def test_folded_rows_meet_the_enrollments_once(spark, school):
+    before = {k: school[k] for k in ("enrollments", "grades")}
+    facts = N.signed_facts(before, {"grades": school["grades"], "attendance": school["attendance"]})
+    assert facts._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_only_rows_older_than_a_change_are_met_with_it(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"))
+    grade = lambda i, s: spark.createDataFrame(
+        [(i, 1, "Final", s)], "grade_id long, enrollment_id long, assessment_type string, score string"
+    ).selectExpr("grade_id", "enrollment_id", "assessment_type", "cast(score as decimal(5,2)) score", "cast(0.5 as decimal(3,2)) weight")
+    change = lambda s: grade(0, s).selectExpr("enrollment_id", "assessment_type", "score new_score", "weight new_weight")
+    scores = lambda: {r["grade_id"]: r["score"] and int(r["score"]) for r in store.read()["grades"].collect()}
+    plan = lambda: store.read()["grades"]._jdf.queryExecution().optimizedPlan().toString()
+    store.publish(append={"grades": grade(1, "10")})
+    store.publish(append={"grades": grade(2, "20")}, changes=change("90"))
+    assert scores() == {1: 90, 2: 20}
+    assert plan().startswith("Union")  # the new row is beside the join, not in it
+    store.publish(append={"grades": grade(3, "30")})
+    store.publish(changes=change(None))
+    store.publish(append={"grades": grade(4, "40")})
+    assert scores() == {1: None, 2: None, 3: None, 4: 40}
