@@ -21,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -62,11 +63,10 @@ def features(text: str) -> set[str]:
     return out
 
 
-def pattern_hits(text: str) -> tuple[bool, ...]:
-    """The pattern voters, in the order of PATTERNS."""
-    low = text.lower()
-    hits = sum(w in _INSULTS for w in _WORD.findall(low))
-    # each pattern is looked for only where the signs it cannot do without are there
+def pattern_hits(text: str, low: str, listed: Sequence[str], words: set[str]) -> tuple[bool, ...]:
+    """The pattern voters, in the order of PATTERNS; given the text, it in lower case, its words in order and as a set."""
+    # words are gone through, and each pattern is looked for, only where the signs they cannot do without are there
+    hits = 0 if words.isdisjoint(_INSULTS) else sum(w in _INSULTS for w in listed)
     return (
         hits > 0 and any(m in _INSULTS for m in _ADDRESS.findall(low)),
         any(c in low for c in "*#@$") and _MASKED.search(low) is not None,
@@ -76,11 +76,6 @@ def pattern_hits(text: str) -> tuple[bool, ...]:
     )
 
 
-def fixed_hits(text: str, words: set[str]) -> tuple[bool, ...]:
-    """The voters that need no mining: lexicons, then patterns."""
-    return (*(not listed.isdisjoint(words) for listed in _LEXICONS.values()), *pattern_hits(text))
-
-
 @dataclass
 class LabelModel:
     """Accuracy of each voter, the voter each one depends on, and the posterior of each vote pattern."""
@@ -177,17 +172,17 @@ class Classifier:
     def score(self, text: str) -> float:
         z, weights, of_word = self.bias, self.weights, self.of_word
         if text:
-            words = set(_WORD.findall(text.lower()))
+            low = text.lower()
+            words = set(listed := _WORD.findall(low))
             if len(of_word) > 200_000:
                 of_word.clear()
-            found: set[str] = set()
-            for w in words:
-                if (own := of_word.get(w)) is None:
-                    own = of_word[w] = tuple(f for f in (w, *(w[:n] + "*" for n in STEMS if len(w) > n)) if f in weights)
-                if own:
-                    found.update(own)
+            for w in words.difference(of_word):
+                of_word[w] = tuple(f for f in (w, *(w[:n] + "*" for n in STEMS if len(w) > n)) if f in weights)
+            found = set(chain.from_iterable(map(of_word.__getitem__, words)))
             z += math.fsum(sorted(weights[f] for f in found))
-            z += math.fsum(w for w, hit in zip(self.fixed, fixed_hits(text, words), strict=True) if hit)
+            lexicons = (not words.isdisjoint(own) for own in _LEXICONS.values())
+            hits = (*lexicons, *pattern_hits(text, low, listed, words))
+            z += math.fsum(w for w, hit in zip(self.fixed, hits, strict=True) if hit)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     def __post_init__(self) -> None:
@@ -215,11 +210,13 @@ class Voters:
         of_word, bits = self.of_word, 0
         if len(of_word) > 200_000:
             of_word.clear()
-        for w in set(_WORD.findall(text.lower())):
-            if (own := of_word.get(w)) is None:
-                own = of_word[w] = self._bits(w)
+        low = text.lower()
+        words = set(listed := _WORD.findall(low))
+        for w in words.difference(of_word):
+            of_word[w] = self._bits(w)
+        for own in set(map(of_word.__getitem__, words)):
             bits |= own
-        for i, hit in enumerate(pattern_hits(text), len(_LEXICONS)):
+        for i, hit in enumerate(pattern_hits(text, low, listed, words), len(_LEXICONS)):
             bits |= hit << i
         return bits
 

@@ -185,3 +185,24 @@ def test_pipeline_runs_through(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     assert got and all(r.lossless for r in got)
     assert {r.doc_id for r in got} <= {r.doc_id for r in table(spark, SF, "documents").collect()}
+
+
+def test_words_of_a_text_are_looked_for_once(monkeypatch):
+    class Counting:
+        calls, pattern = 0, toxicity._WORD
+
+        def findall(self, text):
+            self.calls += 1
+            return self.pattern.findall(text)
+
+    count = Counting()
+    monkeypatch.setattr(toxicity, "_WORD", count)
+    model = toxicity.Classifier(-2.0, {"idiot": 3.0, "mor*": 1.0}, (0.0,) * len(toxicity._LEXICONS) + (1.0, 0.0, 0.0, 0.0, 0.5))
+    text = "You are an idiot, you moron! A fine day."
+    bits = toxicity.Voters({"mor*"})(text)
+    assert count.calls == 1
+    score = model.score(text)
+    assert count.calls == 2
+    # wits, German, French; address, twice; a mined beginning of three letters
+    assert np.flatnonzero(toxicity.Voters.votes(np.array([bits]))[0]).tolist() == [0, 5, 6, 8, 12, 14]
+    assert score == pytest.approx(1 / (1 + np.exp(-(-2.0 + 3.0 + 1.0 + 1.0 + 0.5))))
