@@ -82,7 +82,9 @@ class _Column:
 
     def add(self, values: np.ndarray) -> None:
         if self.size + len(values) > len(self.room):
-            self.room = np.resize(self.room, 2 * (self.size + len(values)))
+            room = np.empty(2 * (self.size + len(values)), self.room.dtype)
+            room[: self.size] = self.all
+            self.room = room
         self.room[self.size : self.size + len(values)] = values
         self.size += len(values)
 
@@ -133,16 +135,40 @@ class Segmenter:
         self.is_byte = np.zeros(len(words.pieces), bool)
         self.is_byte[list(words.byte_of)] = True
         self.known = _Paths()
+        self.pairs, self.made = np.append(words.pairs, -1), np.append(words.made, -1)
+        self.slots = self._slots()
         self.merges: dict[int, int] = {}
         bytes_of = (bytes([words.byte_of[i]]) if i in words.byte_of else p.replace(_BLANK, " ").encode() for i, p in enumerate(words.pieces))
         self.bytes_of = pa.array(bytes_of, pa.binary())
         self._chunks = re.compile(" *[^ ]+| +").findall
 
+    def _slot(self, keys: np.ndarray, bits: int) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def _slots(self) -> np.ndarray:
+        """Where pairs lie by their hash, each in the first free slot from its own on; a free slot has the place behind all pairs."""
+        n = len(self.words.pairs)
+        bits = (8 * n + 8).bit_length()
+        slots = np.full(1 << bits, n, np.int32)
+        left, own = np.arange(n), self._slot(self.words.pairs, bits)
+        while len(left):
+            free = slots[own] == n
+            slots[own[free]] = left[free]
+            lost = slots[own] != left
+            left, own = left[lost], (own[lost] + 1) & (len(slots) - 1)
+        return slots
+
     def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the piece that two symbols make, or -1."""
         keys = left << 32 | right
-        at = np.minimum(np.searchsorted(self.words.pairs, keys), len(self.words.pairs) - 1)
-        return np.where(self.words.pairs[at] == keys, self.words.made[at], -1)
+        own = self._slot(keys, len(self.slots).bit_length() - 1)
+        at = self.slots[own]
+        other = np.flatnonzero((self.pairs[at] != keys) & (at < len(self.words.pairs)))
+        while len(other):
+            own[other] = (own[other] + 1) & (len(self.slots) - 1)
+            at[other] = self.slots[own[other]]
+            other = other[(self.pairs[at[other]] != keys[other]) & (at[other] < len(self.words.pairs))]
+        return self.made[at]
 
     def _skipped(self, entries: np.ndarray, keys: np.ndarray) -> np.ndarray:
         h = (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ keys
@@ -215,49 +241,52 @@ class Segmenter:
         none = np.iinfo(np.int64).max
         symbol = self.symbols[np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)]
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        owner = np.repeat(np.arange(len(chunks)), sizes)
-        firsts = np.cumsum(sizes) - sizes
-        place = np.arange(len(symbol)) - np.repeat(firsts, sizes)
+        who = np.flatnonzero(sizes)
+        widths = sizes[who]
+        ends = np.cumsum(widths)
+        place = np.arange(len(symbol)) - np.repeat(ends - widths, widths)
         entry = np.full(len(symbol), none)
         made = self._made(symbol[:-1], symbol[1:])
-        has = np.flatnonzero((made >= 0) & (owner[:-1] == owner[1:]))
+        made[ends[:-1] - 1] = -1
+        has = np.flatnonzero(made >= 0)
         entry[has] = made[has] << 32 | place[has]
-        done_owner, done_symbol = [], []
+        done_owner, done_symbol = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         taken: list[tuple[np.ndarray, ...]] = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))]
         while len(symbol):
-            new = np.empty(len(owner), bool)
-            new[0] = True
-            np.not_equal(owner[1:], owner[:-1], out=new[1:])
-            starts = np.flatnonzero(new)
-            best = np.minimum.reduceat(entry, starts)
-            widths = np.diff(np.append(starts, len(owner)))
-            spread = np.repeat(best, widths)
-            over = spread == none
-            if over.any():
-                done_owner.append(owner[over])
-                done_symbol.append(symbol[over])
-                going = ~over
-                symbol, owner, place, entry, spread = symbol[going], owner[going], place[going], entry[going], spread[going]
+            best = np.minimum.reduceat(entry, np.cumsum(widths) - widths)
+            over = best == none
+            # chunks that are done stay where they are until they are many
+            if 4 * int(widths[over].sum()) >= len(symbol):
+                gone = np.repeat(over, widths)
+                done_owner.append(np.repeat(who[over], widths[over]))
+                done_symbol.append(symbol[gone])
+                left = np.flatnonzero(~gone)
+                symbol, place, entry = symbol[left], place[left], entry[left]
+                who, widths, best, over = who[~over], widths[~over], best[~over], over[~over]
                 if not len(symbol):
                     break
-            at = np.flatnonzero(entry == spread)
-            skip = skips(entry[at], owner[at])
-            taken.append((owner[at], entry[at], skip))
+            best[over] = -1
+            busy = np.flatnonzero(~over)
+            at = np.flatnonzero(entry == np.repeat(best, widths))
+            skip = skips(best[busy], who[busy])
+            taken.append((who[busy], best[busy], skip))
             entry[at[skip]] = none
-            at = at[~skip]
+            at, busy = at[~skip], busy[~skip]
             if not len(at):
                 continue
-            symbol[at] = entry[at] >> 32
-            keep = np.ones(len(symbol), bool)
-            keep[at + 1] = False
-            symbol, owner, place, entry = symbol[keep], owner[keep], place[keep], entry[keep]
-            at = at - np.arange(len(at))
+            symbol[at] = best[busy] >> 32
             entry[at] = none
             # the merged symbol with the one after it, and the one before it with the merged symbol
-            for one in (at[at + 1 < len(symbol)], at[at > 0] - 1):
-                one = one[owner[one] == owner[one + 1]]
-                made = self._made(symbol[one], symbol[one + 1])
-                entry[one] = np.where(made >= 0, made << 32 | place[one], none)
+            last = np.cumsum(widths)[busy]
+            one, two = at[at + 2 < last], at[at > last - widths[busy]]
+            made = self._made(symbol[np.concatenate([one, two - 1])], symbol[np.concatenate([one + 2, two])])
+            one = np.concatenate([one, two - 1])
+            entry[one] = np.where(made >= 0, made << 32 | place[one], none)
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            left = np.flatnonzero(keep)
+            symbol, place, entry = symbol[left], place[left], entry[left]
+            widths[busy] -= 1
         owner, symbol = np.concatenate(done_owner), np.concatenate(done_symbol)
         order = np.argsort(owner, kind="stable")
         owner, symbol = owner[order], symbol[order]
@@ -265,7 +294,9 @@ class Segmenter:
         ids = self.words.ids[np.minimum(symbol, self.words.unknown - 1)]
         strange = np.flatnonzero(symbol >= self.words.unknown)
         if len(strange):
-            bytes_ = [self._ids([s]) for s in symbol[strange].tolist()]
+            kinds, which = np.unique(symbol[strange], return_inverse=True)
+            of_kind = [self._ids([s]) for s in kinds.tolist()]
+            bytes_ = [of_kind[k] for k in which.tolist()]
             more = np.fromiter(map(len, bytes_), np.int64, len(bytes_))
             widths = np.ones(len(symbol), np.int64)
             widths[strange] = more
@@ -367,7 +398,7 @@ class Segmenter:
         """Piece ids of chunks one after the other, and how many each has."""
         if self.known.parent.size >= self.remember:
             self.known = _Paths()
-        long = [i for i, c in enumerate(chunks) if len(c) > longest]
+        long = [i for i, c in enumerate(chunks) if len(c) > longest] if max(map(len, chunks)) > longest else []
         keys = self._keys(draws)
         if not long:
             node = self._found(chunks, keys)

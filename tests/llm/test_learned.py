@@ -206,3 +206,16 @@ def test_words_of_a_text_are_looked_for_once(monkeypatch):
     # wits, German, French; address, twice; a mined beginning of three letters
     assert np.flatnonzero(toxicity.Voters.votes(np.array([bits]))[0]).tolist() == [0, 5, 6, 8, 12, 14]
     assert score == pytest.approx(1 / (1 + np.exp(-(-2.0 + 3.0 + 1.0 + 1.0 + 0.5))))
+
+
+def test_pairs_are_found_by_their_hash():
+    words = pieces.Vocabulary(*pieces.read_model(pieces.MODEL))
+    work = pieces.Segmenter(words, 0.1, 1)
+    lying = work.slots[work.slots < len(words.pairs)]
+    assert np.array_equal(np.sort(lying), np.arange(len(words.pairs)))
+    found = dict(zip(words.pairs.tolist(), words.made.tolist(), strict=True))
+    draw = np.random.default_rng(3)
+    left, right = draw.integers(0, words.unknown + 0x110000, (2, 50_000))
+    left, right = np.append(left, words.pairs >> 32), np.append(right, words.pairs & 0xFFFFFFFF)
+    want = [found.get(k, -1) for k in (left << 32 | right).tolist()]
+    assert work._made(left, right).tolist() == want
