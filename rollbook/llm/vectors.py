@@ -174,15 +174,25 @@ def near_vectors(
 #: Scores below this are worked out in 64 bits, others in numbers of any length.
 _BOUND = 1 << 62
 
+#: Scores below this are whole in a double, whatever the order of the sum.
+_WHOLE = 1 << 53
+
+#: Bytes of candidates that one task searches, and of queries that it holds, if components took eight bytes.
+_SEARCHED, _HELD = 32 << 20, 32 << 20
+
 
 def _packed(scale: int) -> object:
-    """Rows of one block to one row: numbers of the rows, ids, matrix of floor(scale * x), which doubles hold exactly."""
+    """Rows of one block to one row: numbers of the rows, ids, matrix of floor(scale * x), in the narrowest type that holds it."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         order = np.lexsort((group["row"].to_numpy(), group["id"].to_numpy()))
         x = np.floor(scale * np.stack(group["vector"].to_list())[order].astype(np.float64))
+        reach = float(np.abs(x).max(initial=0))
+        kind = "int16" if reach < 1 << 15 else "int32" if reach < 1 << 31 else "float64"
         held = {name: [group[name].to_numpy()[order].tobytes()] for name in ("row", "id")}
-        return pd.DataFrame({"dim": [x.shape[1]], "block": [int(group["block"].iloc[0])], **held, "matrix": [x.tobytes()]})
+        return pd.DataFrame(
+            {"dim": [x.shape[1]], "block": [int(group["block"].iloc[0])], **held, "kind": [kind], "matrix": [x.astype(kind).tobytes()]}
+        )
 
     return run
 
@@ -196,71 +206,146 @@ def _products(x: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.array([sum(int(a) * b for a, b in zip(row, whole, strict=True)) for row in x] + [None], object)[:-1]
 
 
+class _Lists:
+    """A block of rows as one sorted list per component."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, n = x, len(x)
+        order = np.argsort(x, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(x, order, axis=0).astype(np.float64)
+        self.place = np.empty_like(order)
+        np.put_along_axis(self.place, order, np.arange(n)[:, None], axis=0)
+        self.values, self.reach = x.astype(np.float64), float(np.abs(x).max(initial=0))
+        self._read: dict[int, tuple] = {}
+
+    def read(self, depth: int) -> tuple:
+        """What components of the rows are at most and at least, where lists have been read from their upper or lower end."""
+        if depth not in self._read:
+            n = len(self.x)
+            top, bottom = self.place >= n - depth, self.place < depth
+            most = np.where(top, self.values, self.sorted[n - depth]), np.where(bottom, self.values, self.sorted[depth - 1])
+            least = np.where(top, self.values, self.sorted[0]), np.where(bottom, self.values, self.sorted[-1])
+            self._read[depth] = most, least
+        return self._read[depth]
+
+
 def top_of_block(
-    queries: np.ndarray, query_keys: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, keys: np.ndarray | None = None
+    queries: np.ndarray,
+    query_keys: np.ndarray,
+    x: np.ndarray | _Lists,
+    ids: np.ndarray,
+    k: int,
+    keys: np.ndarray | None = None,
+    known: np.ndarray | None = None,
 ) -> list[tuple]:
     """The k best rows of one block for each query, from sorted lists read in order: (key of the query, id, score).
 
     ``keys`` (the ids, if left out) tell rows apart; a query does not find the
-    row of its own key.
+    row of its own key.  ``known`` is, for each query, a score that k rows
+    elsewhere reach: rows below it are left out.
 
     Each component is a list sorted by value; a query reads it from the end
     that scores higher, all its lists to the same depth.  What has been read of
     a row counts as it is.  For its lower bound the unread components count
     with the value at the far end of their list, for its upper bound with the
     value at which reading stands.  Rows whose upper bound is below the k-th
-    lower bound are out, seen or not; when few are left, or the lists are at
-    their end, the final scores of those left are worked out.  The queries of a
-    block read in step, so the bounds of all are matrix products.
+    lower bound, or below what is known, are out, seen or not; when few are
+    left, or the lists are at their end, the final scores of those left are
+    worked out.  The queries of a block read in step, so the bounds of all are
+    matrix products.
     """
-    n = len(x)
+    block = x if isinstance(x, _Lists) else _Lists(x)
+    x, n = block.x, len(block.x)
     few = max(4 * k, 64)
     alive = (ids if keys is None else keys)[:, None] != query_keys[None, :]
+    floor = np.full(len(queries), -np.inf) if known is None else known
     going = np.arange(len(queries))
-    order = np.argsort(x, axis=0, kind="stable")
-    lists = np.take_along_axis(x, order, axis=0).astype(np.float64)
-    place = np.empty_like(order)
-    np.put_along_axis(place, order, np.arange(n)[:, None], axis=0)
-    values, up, down = x.astype(np.float64), np.maximum(queries, 0).T.astype(np.float64), np.minimum(queries, 0).T.astype(np.float64)
+    up, down = np.maximum(queries, 0).T.astype(np.float64), np.minimum(queries, 0).T.astype(np.float64)
+    reach = block.reach * float(np.abs(queries).max(initial=0)) * x.shape[1]
     # room for rounding where scores leave the whole numbers of a double
-    room = 1e-12 * x.shape[1] * float(np.abs(x).max(initial=0)) * float(np.abs(queries).max(initial=0))
-    depth = max(32, n // 16)
+    room = 1e-12 * reach
+    depth = max(32, n // 4)
     while n > few and depth < n and len(going):
-        top, bottom = place >= n - depth, place < depth
-        u, d = up[:, going], down[:, going]
-        upper = np.where(top, values, lists[n - depth]) @ u + np.where(bottom, values, lists[depth - 1]) @ d
-        lower = np.where(top, values, lists[0]) @ u + np.where(bottom, values, lists[-1]) @ d
-        lower[~alive[:, going]] = -np.inf
-        bar = np.partition(lower, n - k, axis=0)[n - k]
-        alive[:, going] &= upper >= bar - room
-        going = going[alive[:, going].sum(axis=0) > few]
+        most, least = block.read(depth)
+        some = going if len(going) < len(queries) else slice(None)
+        u, d = up[:, some], down[:, some]
+        upper = most[0] @ u + most[1] @ d
+        bar = floor[some]
+        if np.isinf(bar).any():
+            lower = least[0] @ u + least[1] @ d
+            lower[~alive[:, some]] = -np.inf
+            bar = np.maximum(bar, np.partition(lower, n - k, axis=0)[n - k])
+        alive[:, some] &= upper >= bar - room
+        going = going[alive[:, some].sum(axis=0) > few]
         depth *= 2
+    whole = block.values @ queries.T.astype(np.float64) if reach < _WHOLE and alive.sum() > few * len(queries) else None
     out = []
-    for c, own in enumerate(query_keys):
+    for c in np.flatnonzero(alive.any(axis=0)):
         left = np.flatnonzero(alive[:, c])
-        score = _products(x[left], queries[c])
+        if whole is not None:
+            score = whole[left, c].astype(np.int64)
+        elif reach < _WHOLE:
+            score = (block.values[left] @ queries[c].astype(np.float64)).astype(np.int64)
+        else:
+            score = _products(x[left], queries[c])
         if len(left) > few:
             cut = np.partition(score, len(score) - k)[len(score) - k]
             left, score = left[score >= cut], score[score >= cut]
         best = sorted(zip((-score).tolist(), ids[left].tolist(), strict=True))[:k]
-        out += [(int(own), i, -below) for below, i in best]
+        out += [(int(query_keys[c]), i, -below) for below, i in best]
     return out
 
 
+class _Asked:
+    """A block of queries that a task holds, and what it has found for them."""
+
+    def __init__(self, kind: str, dim: int, matrix: bytes, row: bytes, id: bytes):
+        self.matrix = np.frombuffer(matrix, kind).reshape(-1, dim)
+        self.rows, ids = (np.frombuffer(m, np.int64) for m in (row, id))
+        self.id_of = dict(zip(self.rows.tolist(), ids.tolist(), strict=True))
+        self.best: dict[int, list] = {own: [] for own in self.rows.tolist()}
+        self.known = np.full(len(self.rows), -np.inf)
+
+    def search(self, lists: _Lists, rows: np.ndarray, ids: np.ndarray, k: int) -> None:
+        news: dict[int, list] = {}
+        for own, i, score in top_of_block(self.matrix.astype(np.float64), self.rows, lists, ids, k, rows, self.known):
+            news.setdefault(own, []).append((-score, i))
+        for c, own in enumerate(self.rows.tolist()):
+            if own in news:
+                self.best[own] = sorted(self.best[own] + news[own])[:k]
+                last = -self.best[own][-1][0]
+                if len(self.best[own]) == k and abs(last) < _BOUND:
+                    # a double next to it, so that equal scores stay
+                    self.known[c] = np.nextafter(float(last), -np.inf) if abs(last) >= _WHOLE else last
+
+    def found(self) -> pd.DataFrame | None:
+        if any(below <= -(1 << 63) for best in self.best.values() for below, _ in best[:1]):
+            raise OverflowError("a score leaves 64 bits")
+        # one that is too low counts only if it is among the best in the end
+        low = -(1 << 63)
+        told = [(own, self.id_of[own], i, max(-below, low), -below < low) for own, best in self.best.items() for below, i in best]
+        return pd.DataFrame(told, columns=["query_row", "query_id", "vec_id", "score", "too_low"]) if told else None
+
+
 def _searched(k: int) -> object:
+    """Rows of cells, the queries of each length before its candidates, to the best of each cell."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[_Asked] = []
+        at = None
         for batch in batches:
             for r in batch.itertuples():
-                x, q = (np.frombuffer(m, np.float64).reshape(-1, r.dim) for m in (r.matrix, r.q_matrix))
-                rows, ids, q_rows, q_ids = (np.frombuffer(m, np.int64) for m in (r.row, r.id, r.q_row, r.q_id))
-                id_of = dict(zip(q_rows.tolist(), q_ids.tolist(), strict=True))
-                found = top_of_block(q, q_rows, x, ids, k, rows)
-                if any(score >= 1 << 63 for _, _, score in found):
-                    raise OverflowError("a score leaves 64 bits")
-                # one that is too low counts only if it is among the best in the end
-                low = -(1 << 63)
-                told = [(own, id_of[own], i, max(score, low), score < low) for own, i, score in found]
-                yield pd.DataFrame(told, columns=["query_row", "query_id", "vec_id", "score", "too_low"])
+                if (r.cell, r.dim) != at:
+                    yield from (x for x in (a.found() for a in held) if x is not None)
+                    held, at = [], (r.cell, r.dim)
+                if not r.side:
+                    held.append(_Asked(r.kind, r.dim, r.matrix, r.row, r.id))
+                elif held:
+                    lists = _Lists(np.frombuffer(r.matrix, r.kind).reshape(-1, r.dim).astype(np.float64))
+                    rows, ids = (np.frombuffer(m, np.int64) for m in (r.row, r.id))
+                    for asked in held:
+                        asked.search(lists, rows, ids, k)
+        yield from (x for x in (a.found() for a in held) if x is not None)
 
     return run
 
@@ -292,20 +377,33 @@ def top_k(
     )
     whole = whole.filter(usable("vector") & F.col("id").isNotNull()).withColumn("dim", F.size("vector"))
     whole = stage(whole.withColumn("row", F.monotonically_increasing_id()))
-    schema = "dim int, block int, row binary, id binary, matrix binary"
+    schema = "dim int, block int, row binary, id binary, kind string, matrix binary"
+    asking = F.when(F.col("asks"), F.col("dim"))
+    sums = whole.agg(F.count(F.lit(1)), F.sum("dim"), F.count(asking), F.sum(asking)).first()
+    n, size, n_asks, asked = (x or 0 for x in sums)
 
-    def packed(part: DataFrame, size: int) -> DataFrame:
-        blocks = max(1, -(-part.count() // size))
+    def packed(part: DataFrame, blocks: int) -> DataFrame:
         dealt_out = part.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
         return stage(map_groups(dealt_out, ["dim", "block"], _packed(scale), schema))
 
-    blocks = packed(whole, block)
-    top = blocks.agg(F.max("block")).first()[0]
-    asks = packed(whole.filter("asks"), query_block)
-    asks = asks.select("dim", *[F.col(c).alias(f"q_{c}") for c in ("row", "id", "matrix")])
-    # every block of candidates with every block of queries: the work asked for, dealt in bounded pieces
-    asks = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(top or 0))))
-    pieces = blocks.join(asks, ["dim", "block"])
+    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_asks // query_block))
+    # every candidate meets every query of its length, in a grid of cells: a task has some of the candidates and of the
+    # queries, so what is dealt out grows with the sides of the grid and not with its pairs
+    wide = min(blocks, max(32 + blocks // 32, -(-8 * size // _SEARCHED)))
+    high = min(query_blocks, max(1, -(-8 * asked // _HELD)))
+
+    def in_cells(rows: DataFrame, side: int, x: Column, y: Column) -> DataFrame:
+        one_axis = rows.withColumn("x", x)
+        cells = one_axis.withColumn("cell", F.col("x") * high + y)
+        return cells.select("cell", "dim", F.lit(side).alias("side"), "row", "id", "kind", "matrix")
+
+    all_of = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    candidates = packed(whole, blocks).withColumn("y", all_of(high))
+    candidates = in_cells(candidates, 1, F.col("block") % wide, F.col("y"))
+    asks = packed(whole.filter("asks"), query_blocks).withColumn("x", all_of(wide))
+    asks = in_cells(asks, 0, F.col("x"), F.col("block") % high)
+    # by number, as tasks are not to be put together by their few bytes, and into many, so that few share one
+    pieces = asks.unionByName(candidates).repartition(8 * wide * high, "cell").sortWithinPartitions("cell", "dim", "side")
     found = pieces.mapInPandas(_searched(k), "query_row long, query_id long, vec_id long, score long, too_low boolean")
     order = Window.partitionBy("query_row").orderBy("too_low", F.desc("score"), "vec_id")
     best = stage(found).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

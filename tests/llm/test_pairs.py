@@ -179,3 +179,37 @@ def test_top_k_of_large_components_and_repeated_ids(spark):
         vectors.top_k(_vectors(spark, [beyond[0], beyond[2]]), asks).collect()
     fine = [(0, [1e18, 1.0]), *[(i, [0.0, float(i)]) for i in range(1, 8)], (9, [-1e18, 1.0])]
     assert vectors.top_k(_vectors(spark, fine), asks).count() == 5
+
+
+def test_top_k_sends_queries_to_cells_and_joins_nothing(spark, monkeypatch):
+    """Blocks of queries go to a grid of cells; they were copied for every block of candidates and broadcast."""
+    rows = _vector_rows()
+    rows += [(10_000 + i, [*v[:16]]) for i, v in rows if v is not None and len(v) >= 16]
+    asks = F.col("vec_id") % 50 == 0
+    plans, stage = [], vectors.stage
+    monkeypatch.setattr(vectors, "stage", lambda df: plans.append(df._jdf.queryExecution().toString()) or stage(df))
+    want = _best_by_length(rows, 5)
+    for searched, held in ((vectors._SEARCHED, vectors._HELD), (1 << 14, 1 << 10)):
+        monkeypatch.setattr(vectors, "_SEARCHED", searched)
+        monkeypatch.setattr(vectors, "_HELD", held)
+        got = vectors.top_k(_vectors(spark, rows), asks, block=16, query_block=2).collect()
+        assert sorted(tuple(r) for r in got) == want
+    assert len(plans) == 8 and not any("Join" in p for p in plans)
+
+
+def _best_by_length(rows, k):
+    """``_best`` among the vectors of each length."""
+    by = {}
+    for i, v in rows:
+        by.setdefault(len(v), []).append((i, v))
+    return sorted(x for some in by.values() for x in _best(some, k))
+
+
+def test_what_is_known_leaves_out_only_worse_rows():
+    draw = np.random.default_rng(4)
+    x, q, ids, own = draw.integers(-9, 10, (900, 6)), draw.integers(-9, 10, (7, 6)), np.arange(900), np.full(7, -1) - np.arange(7)
+    scores = x @ q.T
+    known = np.partition(scores, 895, axis=0)[895].astype(float)
+    whole = vectors.top_of_block(q, own, x, ids, 5)
+    assert vectors.top_of_block(q, own, x, ids, 5, known=known) == whole
+    assert vectors.top_of_block(q, own, x, ids, 5, known=scores.max(axis=0) + 1000.0) == []
